@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import components, neardup, tokens
+from quillspark.llm import components, confusables, mojibake, neardup, tokens
 from quillspark.plans.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,16 @@ def p1_groups(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.col("id").alias("poem_no"), F.coalesce("label", "rep").alias("group_no"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every garbled title (line -1) and line of the poems."""
+    return mojibake.garbled_poems(table(spark, folder, "poems")).select("poem_no", "line_id")
+
+
+def p3_restored(spark: SparkSession, folder: str) -> DataFrame:
+    """The garbled places with the restored text."""
+    return mojibake.garbled_poems(table(spark, folder, "poems"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """The group of every linked poem."""
     return components.components(table(spark, folder, "pairs"), "poem_a", "poem_b").select(F.col("x").alias("poem_no"), F.col("label").alias("group_no"))
@@ -45,10 +55,20 @@ SELECT x AS poem_no, min(y) AS group_no FROM r GROUP BY x
 """
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every title (line -1) and line of the poems that is written with other characters."""
+    return confusables.changed_poems(table(spark, folder, "poems")).select("poem_no", "line_id")
+
+
+def p6_forms(spark: SparkSession, folder: str) -> DataFrame:
+    """The consistent form of each such title and line, and the kinds of changes."""
+    return confusables.changed_poems(table(spark, folder, "poems"))
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document by byte_bpe_50k."""
     return tokens.encode_corpus(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p1_groups": p1_groups, "p4_found": p4_found, "p7_ids": p7_ids}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_restored, p4_found, p6_found, p6_forms, p7_ids)}
 ORACLE: dict[str, str] = {"p4_found": P4_SQL}
