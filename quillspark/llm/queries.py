@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import components, confusables, mojibake, neardup, tokens
+from quillspark.llm import components, confusables, leakage, mojibake, neardup, tokens
 from quillspark.plans.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,5 +70,10 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode_corpus(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_restored, p4_found, p6_found, p6_forms, p7_ids)}
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document and benchmark item of which it holds 12 consecutive words or two thirds of the words in order."""
+    return leakage.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_restored, p4_found, p6_found, p6_forms, p7_ids, p8_found)}
 ORACLE: dict[str, str] = {"p4_found": P4_SQL}
