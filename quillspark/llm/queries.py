@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import components, confusables, leakage, mojibake, neardup, tokens
+from quillspark.llm import components, confusables, leakage, mojibake, neardup, spam, tokens
 from quillspark.plans.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,5 +75,15 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return leakage.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_restored, p4_found, p6_found, p6_forms, p7_ids, p8_found)}
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document of which most is keywords, links or tags."""
+    return spam.spam_pages(table(spark, folder, "documents")).select("doc_id")
+
+
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Share of keyword blocks in every document."""
+    return spam.keyword_shares(table(spark, folder, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_restored, p4_found, p6_found, p6_forms, p7_ids, p8_found, p9_found, p9_shares)}
 ORACLE: dict[str, str] = {"p4_found": P4_SQL}
