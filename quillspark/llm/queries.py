@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import components, confusables, leakage, mojibake, neardup, spam, tokens
+from quillspark.llm import components, confusables, leakage, mojibake, names, neardup, spam, tokens
 from quillspark.plans.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,18 @@ def p1_groups(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.col("id").alias("poem_no"), F.coalesce("label", "rep").alias("group_no"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Every pair of different author names that mean the same author."""
+    return names.pairs_of_names(names.resolve(names.author_names(table(spark, folder, "poems"))))
+
+
+def p2_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """The names of each author, with the smallest of them as the group's name."""
+    groups = names.resolve(names.author_names(table(spark, folder, "poems")))
+    first = groups.groupBy("group").agg(F.min("name").alias("group_name"), F.count("*").alias("spellings"))
+    return groups.join(first, "group").select("name", "group_name", "spellings")
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """Every garbled title (line -1) and line of the poems."""
     return mojibake.garbled_poems(table(spark, folder, "poems")).select("poem_no", "line_id")
@@ -85,5 +97,5 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return spam.keyword_shares(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_restored, p4_found, p6_found, p6_forms, p7_ids, p8_found, p9_found, p9_shares)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_groups, p3_found, p3_restored, p4_found, p6_found, p6_forms, p7_ids, p8_found, p9_found, p9_shares)}
 ORACLE: dict[str, str] = {"p4_found": P4_SQL}
