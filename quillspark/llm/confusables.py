@@ -63,21 +63,6 @@ def parts_text(parts: str) -> str:
     return "".join(chr(int(x, 16)) for x in parts.split())
 
 
-def java_class(chars: list[str]) -> str:
-    """A Java character class of the given characters, as ranges."""
-    codes, out = sorted(map(ord, chars)), []
-    for c in codes:
-        if out and out[-1][1] == c - 1:
-            out[-1][1] = c
-        else:
-            out.append([c, c])
-    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in out) + "]"
-
-
-def pattern() -> str:
-    return java_class([c for c, _, _ in tables()[0]])
-
-
 def _mapping(spark: SparkSession) -> DataFrame:
     rows = [(c, r, k, unicodedata.combining(c)) for c, r, k in tables()[0]]
     return F.broadcast(spark.createDataFrame(rows, "ch string, to string, kind string, ccc int"))
@@ -88,9 +73,9 @@ def canonical(texts: DataFrame, keys: tuple[str, ...] = ("poem_no", "line_id"))
     spark = texts.sparkSession
     by = list(keys)
     here = Window.partitionBy(*by).orderBy("pos")
-    points = texts.select(*by, F.posexplode(F.split("text", "")).alias("pos", "ch")).where("ch <> ''")
+    points = texts.select(*by, "text", F.posexplode(F.split("text", "")).alias("pos", "ch")).where("ch <> ''")
     points = points.join(_mapping(spark), "ch", "left").select(
-        *by, "pos", "ch", F.coalesce("to", "ch").alias("to"), "kind", F.coalesce("ccc", F.lit(0)).alias("ccc")
+        *by, F.when(F.col("pos") == 0, F.col("text")).alias("source"), "pos", "ch", F.coalesce("to", "ch").alias("to"), "kind", F.coalesce("ccc", F.lit(0)).alias("ccc")
     ).repartition(*by)
     letter = F.col("to").rlike(r"^[\p{L}\p{M}]") | (F.coalesce("kind", F.lit("")) == INVISIBLE)
     latin = F.col("to").rlike(r"^[\p{IsLatin}]") & ~F.coalesce(F.col("kind") == ALIKE, F.lit(False))
@@ -103,11 +88,11 @@ def canonical(texts: DataFrame, keys: tuple[str, ...] = ("poem_no", "line_id"))
     points = points.withColumn("did", F.when(is_alike & ~F.col("mixed"), F.lit(None)).when(F.col("kind") == MARK, F.when(F.col("out") != F.col("ch"), F.lit(MARK))).otherwise(F.col("kind")))
     kept = points.withColumn("base", F.sum(F.when((F.col("ccc") == 0) & (F.col("out") != ""), 1).otherwise(0)).over(here))
     clusters = kept.groupBy(*by, "base").agg(
-        F.array_sort(F.collect_list(F.when(F.col("out") != "", F.struct("ccc", "pos", "out")))).alias("parts"), F.collect_set("did").alias("did")
+        F.array_sort(F.collect_list(F.when(F.col("out") != "", F.struct("ccc", "pos", "out")))).alias("parts"), F.collect_set("did").alias("did"), F.max("source").alias("source")
     )
     plain = F.array_join(F.transform("parts", lambda p: p["out"]), "")
-    clusters = clusters.select(*by, "base", "did", plain.alias("text"), F.when(F.size("parts") > 1, F.col("parts")).alias("parts"))
-    return _rebuild(_compose(clusters, by), texts, by)
+    clusters = clusters.select(*by, "source", "base", "did", plain.alias("text"), F.when(F.size("parts") > 1, F.col("parts")).alias("parts"))
+    return _rebuild(_compose(clusters, by), by)
 
 
 def _compose(clusters: DataFrame, by: list[str]) -> DataFrame:
@@ -125,19 +110,17 @@ def _compose(clusters: DataFrame, by: list[str]) -> DataFrame:
         )
 
     whole = F.aggregate(F.slice("parts", 2, F.size("parts") - 1), first, add, lambda d: F.concat(d["base"], d["left"]))
-    done = clusters.where("parts IS NOT NULL").select(*by, "base", "did", "text", whole.alias("whole"))
-    done = done.select(*by, "base", F.when(F.col("whole") != F.col("text"), F.array_union("did", F.array(F.lit(MARK)))).otherwise(F.col("did")).alias("did"), F.col("whole").alias("text"))
-    return clusters.where("parts IS NULL").select(*by, "base", "did", "text").unionByName(done)
+    done = clusters.where("parts IS NOT NULL").select(*by, "source", "base", "did", "text", whole.alias("whole"))
+    done = done.select(*by, "source", "base", F.when(F.col("whole") != F.col("text"), F.array_union("did", F.array(F.lit(MARK)))).otherwise(F.col("did")).alias("did"), F.col("whole").alias("text"))
+    return clusters.where("parts IS NULL").select(*by, "source", "base", "did", "text").unionByName(done)
 
 
-def _rebuild(clusters: DataFrame, texts: DataFrame, by: list[str]) -> DataFrame:
-    built = clusters.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("base", "text"))).alias("all"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("did")))).alias("kinds"))
-    built = built.select(*by, F.array_join(F.transform("all", lambda p: p["text"]), "").alias("form"), "kinds")
-    return texts.select(*by, "text").join(built, by)
+def _rebuild(clusters: DataFrame, by: list[str]) -> DataFrame:
+    kinds = F.array_sort(F.array_distinct(F.flatten(F.collect_list("did")))).alias("kinds")
+    built = clusters.groupBy(*by).agg(F.max("source").alias("text"), F.array_sort(F.collect_list(F.struct("base", F.col("text").alias("part")))).alias("parts"), kinds)
+    return built.select(*by, "text", F.array_join(F.transform("parts", lambda p: p["part"]), "").alias("form"), "kinds")
 
 
 def changed_poems(poems: DataFrame) -> DataFrame:
     """The titles and lines of poems whose form changes, without those that are garbled (problem 3)."""
-    places = mojibake.garbled_poems(poems).select("poem_no", "line_id")
-    texts = mojibake.units(poems, pattern()).join(places, ["poem_no", "line_id"], "left_anti")
-    return canonical(texts).where(F.size("kinds") > 0)
+    return canonical(mojibake.without_garbled(mojibake.units(poems))).where(F.size("kinds") > 0)

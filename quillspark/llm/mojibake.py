@@ -86,6 +86,7 @@ class Model:
             telltale |= {g[0] for g in t if len(g) > 1}
         #: Letters of the corpus tell nothing by themselves.
         self.telltale = {c for c in telltale if not c.isascii() and c not in ORDINARY}
+        self.suspect = re.compile("[" + re.escape("".join(sorted(self.telltale))) + "]")
         self.special = re.compile("[^\\x00-\\x7f" + ORDINARY + "]")
 
     def pattern(self) -> str:
@@ -192,15 +193,30 @@ class Model:
         return "".join(out) + text[at:]
 
 
-def units(poems: DataFrame, pattern: str) -> DataFrame:
-    """(poem_no, line_id, text) of the titles (line -1) and lines in which pattern is found."""
+#: A quick test that all texts with a character of interest pass: anything but ASCII and the corpus' own letters and quotes.
+UNUSUAL = "[^\\x00-\\x7f" + ORDINARY + QUOTES[1] + "]"
+
+
+def units(poems: DataFrame, pattern: str | None = None) -> DataFrame:
+    """(poem_no, line_id, text) of the titles (line -1) and lines that hold an unusual character, and pattern if one is given."""
     title = F.struct(F.lit(-1).alias("line_id"), F.col("title").alias("text"))
     lines = F.transform("body", lambda x: F.struct(x["id"].alias("line_id"), x["text"].alias("text")))
     every = F.concat(F.array(title), F.coalesce(lines, F.expr("cast(array() as array<struct<line_id:int,text:string>>)")))
-    found = F.filter(every, lambda x: x["text"].rlike(pattern))
+    found = F.filter(every, lambda x: x["text"].rlike(UNUSUAL) & x["text"].rlike(pattern) if pattern else x["text"].rlike(UNUSUAL))
     return poems.select("poem_no", F.explode(found).alias("u")).select("poem_no", "u.line_id", "u.text")
 
 
+def without_garbled(texts: DataFrame) -> DataFrame:
+    """The texts (poem_no, line_id, text) in which every character is labelled clean."""
+
+    def run(batches):
+        model = Model()
+        for batch in batches:
+            yield batch.filter(pa.array([not (model.suspect.search(t) and model.label(t)) for t in batch.column(2).to_pylist()], pa.bool_()))
+
+    return texts.mapInArrow(run, texts.schema)
+
+
 def garbled(texts: DataFrame) -> DataFrame:
     """(poem_no, line_id, text) -> the garbled ones, with the restored text, whether nothing is lost, and the pairs of encodings."""
     names = ["->".join(map(str, p[:2])) + (" twice" if len(p) > 2 else "") for p in PAIRS] + ["lost"]
