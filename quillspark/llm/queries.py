@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import components, confusables, leakage, mojibake, names, neardup, spam, tokens
+from quillspark.llm import components, confusables, leakage, mojibake, names, neardup, spam, survivor, tokens
 from quillspark.plans.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,34 @@ SELECT x AS poem_no, min(y) AS group_no FROM r GROUP BY x
 """
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The copy that gives each field of each group's surviving record."""
+    return survivor.survivors(table(spark, folder, "poem_copies"))
+
+
+def p5_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Every value of each group's fields that is judged true."""
+    return survivor.true_values(table(spark, folder, "poem_copies"))
+
+
+P5_SQL = """
+WITH c AS (
+  SELECT group_no, copy_no, trust, fetched_at, source.title AS title, source.year_published AS y,
+    trim(regexp_replace(lower(source.title), '[^\\p{L}\\p{N}]+', ' ', 'g')) AS bare,
+    len(list_distinct(list_filter(list_transform(body, lambda x: x.text), lambda t: t IS NOT NULL AND regexp_matches(t, '[\\p{L}\\p{N}]')
+      AND NOT regexp_matches(t, '(?i)^\\s*[\\[(<{][^\\])>}]*(mangler|ulæselig|uleselig|missing|illegible|lakune|lacuna|udeladt)[^\\])>}]*[\\])>}]\\s*$')))) AS n
+  FROM poem_copies
+), r AS (
+  SELECT *, title IS NOT NULL AND bare <> '' AND bare NOT IN (PLACEHOLDERS) AS t_ok, coalesce(y BETWEEN 1400 AND 2026, false) AS y_ok, coalesce(n, 0) > 0 AS b_ok FROM c
+)
+SELECT g.group_no,
+  (SELECT copy_no FROM r WHERE r.group_no = g.group_no AND t_ok ORDER BY trust DESC NULLS LAST, fetched_at DESC NULLS LAST, copy_no LIMIT 1) AS title_copy,
+  (SELECT copy_no FROM r WHERE r.group_no = g.group_no AND y_ok ORDER BY trust DESC NULLS LAST, fetched_at DESC NULLS LAST, copy_no LIMIT 1) AS year_copy,
+  (SELECT copy_no FROM r WHERE r.group_no = g.group_no AND b_ok ORDER BY n DESC, trust DESC NULLS LAST, fetched_at DESC NULLS LAST, copy_no LIMIT 1) AS body_copy
+FROM (SELECT DISTINCT group_no FROM poem_copies) g
+""".replace("PLACEHOLDERS", ", ".join(f"'{p}'" for p in survivor.PLACEHOLDERS))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Every title (line -1) and line of the poems that is written with other characters."""
     return confusables.changed_poems(table(spark, folder, "poems")).select("poem_no", "line_id")
@@ -97,5 +125,5 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return spam.keyword_shares(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_groups, p3_found, p3_restored, p4_found, p6_found, p6_forms, p7_ids, p8_found, p9_found, p9_shares)}
-ORACLE: dict[str, str] = {"p4_found": P4_SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_groups, p3_found, p3_restored, p4_found, p5_found, p5_values, p6_found, p6_forms, p7_ids, p8_found, p9_found, p9_shares)}
+ORACLE: dict[str, str] = {"p4_found": P4_SQL, "p5_found": P5_SQL}
