@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -28,22 +29,26 @@ DANISH = ("dansk", "gammeldansk", "ældre-nydansk", "yngre-nydansk")
 SLUG_LENGTH = 80
 
 
-@F.pandas_udf("string")
-def without_marks(s: pd.Series) -> pd.Series:
-    """Compatibility decomposition without its combining marks."""
-    return s.map(lambda t: "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)), na_action="ignore")
+def by_series(f: Callable, kind: str) -> Callable[[Column | str], Column]:
+    """A pandas UDF of a function of one value, made when it is used, so that importing needs no session. Nulls stay nulls."""
 
+    def call(c: Column | str) -> Column:
+        def run(s: pd.Series) -> pd.Series:
+            return s.map(f, na_action="ignore")
 
-@F.pandas_udf("string")
-def unescape(s: pd.Series) -> pd.Series:
-    """HTML entities as characters."""
-    return s.map(html.unescape, na_action="ignore")
+        return F.pandas_udf(run, kind)(c)
 
+    return call
 
-@F.pandas_udf("string")
-def title_case(s: pd.Series) -> pd.Series:
-    """Upper case after anything that is no letter, lower case elsewhere."""
-    return s.map(str.title, na_action="ignore")
+
+def _without_marks(t: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+
+
+#: Compatibility decomposition without its combining marks; HTML entities as characters; upper case after anything that is no letter.
+without_marks = by_series(_without_marks, "string")
+unescape = by_series(html.unescape, "string")
+title_case = by_series(str.title, "string")
 
 
 def collapse(c: Column) -> Column:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as T
-from quillspark.operators.lines import body_lines, compared_lines
+from quillspark.plans.shared import materialise
+from quillspark.operators.lines import body_lines, compared_lines  # noqa: F401
 
 
 def blocks(poems: DataFrame, key: str = "poem_no") -> DataFrame:
@@ -18,53 +19,62 @@ def block_sizes(poems: DataFrame, least: int = 2) -> DataFrame:
     return blocks(poems).groupBy("block_title", "block_source").agg(F.count("*").alias("n")).where(F.col("n") >= least)
 
 
-def contained_pairs(lines: DataFrame, by: list[str], key: str, share: float = 0.9) -> DataFrame:
-    """(a, b, a_in_b, b_in_a, lines_a, lines_b) of keys in one block, a < b, one of which has at least share of its distinct lines in the other.
+def line_sets(poems: DataFrame, key: str = "poem_no", least: int = 3) -> DataFrame:
+    """(block_title, block_source, key, set, lines): the distinct compared lines of each poem in a block with others, and their number with repeats.
 
-    lines: (by, key, norm). The join is on a block and a line, by a hash of both, so rows of a block meet only where
-    they share a line. Keys with the same set of lines are compared once, through a representative, and expanded at
-    the end. Of a pair that qualifies, the smaller set has at least share of its lines in common, so some common line is
-    among the first (1 - share) of it in any fixed order, and the other way is not needed: a prefix of each set of
-    rare lines meets the whole of the other. Results are those of comparing all pairs.
+    Blocks with one poem go first, by counts that are summed before the shuffle, so only the bodies of the others are
+    looked at; their lines are compared within the poem's row, nothing is exploded.
     """
-    distinct = lines.groupBy(*by, key, "norm").agg(F.count("*").alias("times"))
-    sets = distinct.groupBy(*by, key).agg(
-        F.count("*").alias("size"), F.sum("times").alias("lines"), F.bit_xor(F.xxhash64("norm")).alias("h1"), F.sum(F.hash("norm").cast("long")).alias("h2")
-    )
-    reps = sets.groupBy(*by, "size", "h1", "h2").agg(F.min(key).alias("rep"))
-    members = sets.join(reps, [*by, "size", "h1", "h2"]).select(*by, key, "rep", "lines", "size")
-    held = distinct.join(members.where(F.col(key) == F.col("rep")).select(*by, key, "size"), [*by, key]).select(*by, key, "norm", "size")
-    # lines from the rarest to the commonest in their block; the prefix of a set that suffices to meet every superset
-    rank = held.groupBy(*by, "norm").agg(F.count("*").alias("df"))
-    ranked = held.join(rank, [*by, "norm"])
-    from pyspark.sql import Window
-
-    place = F.row_number().over(Window.partitionBy(*by, key).orderBy("df", "norm"))
-    prefix = ranked.withColumn("place", place).where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * share - 1e-9) + 1)
-    left = prefix.select(*by, "norm", F.col(key).alias("s"))
-    right = held.select(*by, "norm", F.col(key).alias("t"))
-    met = left.join(right, [*by, "norm"]).where("s <> t").select(*by, F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b")).distinct()
-    one = held.select(*by, "norm", F.col(key).alias("a"), F.col("size").alias("size_a"))
-    two = held.select(*by, "norm", F.col(key).alias("b"), F.col("size").alias("size_b"))
-    common = met.join(one, [*by, "a"]).join(two, [*by, "b", "norm"]).groupBy(*by, "a", "b", "size_a", "size_b").agg(F.count("*").alias("common"))
-    found = common.where(F.col("common") >= share * F.least("size_a", "size_b") - 1e-9)
+    by = ["block_title", "block_source"]
+    blocked = poems.select(key, T.normalise(F.col("title")).alias(by[0]), T.normalise(F.col("source.title")).alias(by[1]), "body").where("block_title <> ''")
+    several = blocked.groupBy(*by).agg(F.count("*").alias("_n")).where("_n > 1").select(*by)
+    texts = F.coalesce(F.expr("transform(body, x -> x.text)"), F.expr("cast(array() as array<string>)"))
+    kept = F.filter(F.transform(texts, T.normalise), lambda x: F.length(x) >= least)
+    rows = blocked.join(several, by, "left_semi").withColumn("all", kept)
+    return rows.select(*by, key, F.array_sort(F.array_distinct("all")).alias("set"), F.size("all").cast("long").alias("lines"))
+
+
+def contained_pairs(sets: DataFrame, by: list[str], key: str, share: float = 0.9) -> DataFrame:
+    """(by, a, b, a_in_b, b_in_a, lines_a, lines_b) of keys in one block, a < b, one of which has at least share of its lines in the other.
+
+    sets: (by, key, set, lines); they are written to the shared folder, as each of the steps reads them. Keys with
+    equal sets are compared once, through a representative, and expanded at the end. Of a pair that qualifies, the
+    smaller set has share of its lines in common with the other, so in any fixed order one of its first
+    size - ceil(share * size) + 1 lines is common. Those prefixes, the rarest lines of the block first, are joined
+    with all lines of the block; so rows meet only where they share a rare line, and no pair is lost.
+    """
+    signed = materialise(sets.where(F.size("set") > 0).withColumn("_h", F.sha2(F.array_join("set", "\n"), 256)), "sets")
+    reps = signed.groupBy(*by, "_h").agg(F.min(key).alias("rep"))
+    members = signed.join(reps, [*by, "_h"]).select(*by, key, "rep", "lines", "set")
+    held = members.where(F.col(key) == F.col("rep")).select(*by, key, "set", F.size("set").alias("size"))
+    rows = held.select(*by, key, "size", F.explode("set").alias("norm"))
+    often = rows.groupBy(*by, "norm").agg(F.count("*").alias("df")).where("df > 1")
+    # a line that one set alone has can't be common: it stays in the count of the prefix, first of all
+    ranked = rows.join(often, [*by, "norm"], "left").withColumn("place", F.row_number().over(Window.partitionBy(*by, key).orderBy(F.coalesce("df", F.lit(1)), "norm")))
+    shared = ranked.where("df IS NOT NULL")
+    prefix = shared.where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * share - 1e-9) + 1)
+    met = (
+        prefix.select(*by, "norm", F.col(key).alias("s")).join(shared.select(*by, "norm", F.col(key).alias("t")), [*by, "norm"]).where("s <> t")
+        .select(*by, F.least("s", "t").alias("a"), F.greatest("s", "t").alias("b")).distinct()
+    )
+    side = lambda x: held.select(*by, F.col(key).alias(x), F.col("set").alias(f"set_{x}"))
+    common = met.join(side("a"), [*by, "a"]).join(side("b"), [*by, "b"]).withColumn("common", F.size(F.array_intersect("set_a", "set_b")))
+    ratios = common.select(*by, F.col("a").alias("rep_a"), F.col("b").alias("rep_b"), (F.col("common") / F.size("set_a")).alias("x"), (F.col("common") / F.size("set_b")).alias("y"))
+    found = ratios.where(F.greatest("x", "y") >= share - 1e-9)
     m = lambda x: members.select(*by, F.col("rep").alias(f"rep_{x}"), F.col(key).alias(x), F.col("lines").alias(f"lines_{x}"))
-    across = found.withColumnsRenamed({"a": "rep_a", "b": "rep_b"}).join(m("a"), [*by, "rep_a"]).join(m("b"), [*by, "rep_b"])
-    within = m("a").join(m("b").withColumnRenamed("rep_b", "rep_a"), [*by, "rep_a"]).where("a < b").select(*by, "a", "b", F.lit(1.0).alias("a_in_b"), F.lit(1.0).alias("b_in_a"), "lines_a", "lines_b")
+    across = found.join(m("a"), [*by, "rep_a"]).join(m("b"), [*by, "rep_b"])
     swap = F.col("a") > F.col("b")
-    ratio = lambda s: F.col("common") / F.col(s)
+    pick = lambda u, v: F.when(swap, F.col(v)).otherwise(F.col(u))
     ordered = across.select(
-        *by, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-        F.when(swap, ratio("size_b")).otherwise(ratio("size_a")).alias("a_in_b"), F.when(swap, ratio("size_a")).otherwise(ratio("size_b")).alias("b_in_a"),
-        F.when(swap, F.col("lines_b")).otherwise(F.col("lines_a")).alias("lines_a"), F.when(swap, F.col("lines_a")).otherwise(F.col("lines_b")).alias("lines_b"),
-    )
+        *by, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), pick("x", "y").alias("a_in_b"), pick("y", "x").alias("b_in_a"), pick("lines_a", "lines_b").alias("lines_a"), pick("lines_b", "lines_a").alias("lines_b")
+    )
+    within = m("a").join(m("b").withColumnRenamed("rep_b", "rep_a"), [*by, "rep_a"]).where("a < b").select(*by, "a", "b", F.lit(1.0).alias("a_in_b"), F.lit(1.0).alias("b_in_a"), "lines_a", "lines_b")
     return ordered.unionByName(within)
 
 
 def contained_poems(poems: DataFrame, key: str = "poem_no", share: float = 0.9) -> DataFrame:
     """Pairs of poems of the same compared title and source title, one contained in the other."""
-    rows = compared_lines(body_lines(poems, key)).select(key, "norm").join(blocks(poems, key), key)
-    return contained_pairs(rows, ["block_title", "block_source"], key, share)
+    return contained_pairs(line_sets(poems, key), ["block_title", "block_source"], key, share)
 
 
 def most_contained_first(pairs: DataFrame, n: int | None = None) -> DataFrame:

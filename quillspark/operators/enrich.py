@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as T
+from quillspark.plans.skew import row_numbers
 
 
 def first_of_key(dim: DataFrame, key: str, *order: str) -> DataFrame:
@@ -61,19 +62,18 @@ def collisions(df: DataFrame, name: str) -> DataFrame:
 def with_suffixes(df: DataFrame, name: str, *order: str) -> DataFrame:
     """Adds unique_name: the second and later rows of one name get --2, --3 and so on, in the stated order.
 
-    A name that other rows have anyhow (as x--2 beside two x) isn't given away: numbering goes on behind the
-    highest number that is taken.
+    Numbers that other rows of the same stem have anyhow (x--2 beside two x) aren't given away: numbering goes on
+    behind the highest. Null names stay null. One name may belong to a large part of all rows.
     """
-    stem, ext = F.regexp_replace(name, r"\.json$", ""), F.when(F.col(name).endswith(".json"), ".json").otherwise("")
-    n = F.row_number().over(Window.partitionBy(name).orderBy(*order))
-    base = F.regexp_replace(stem, r"--\d+$", "")
-    taken = df.select(base.alias("_base"), ext.alias("_ext"), F.regexp_extract(stem, r"--(\d+)$", 1).try_cast("int").alias("_k"))
-    high = taken.where("_k IS NOT NULL").groupBy("_base", "_ext").agg(F.max("_k").alias("_high"))
-    rows = df.withColumn("_n", n).withColumn("_stem", stem).withColumn("_x", ext)
-    joined = rows.join(high, (F.col("_stem") == F.col("_base")) & (F.col("_x") == F.col("_ext")), "left")
-    number = F.when(F.col("_high").isNull(), F.col("_n")).otherwise(F.greatest(F.col("_high"), F.lit(1)) + F.col("_n") - 1)
-    unique = F.when(F.col("_n") == 1, F.col(name)).otherwise(F.concat("_stem", F.lit("--"), number.cast("string"), F.col("_x")))
-    return joined.withColumn("unique_name", unique).drop("_n", "_stem", "_x", "_base", "_ext", "_high")
+    stem = F.regexp_replace(name, r"\.json$", "")
+    rows = df.withColumn("_root", F.regexp_replace(stem, r"(--\d+)+$", "")).withColumn("_ext", F.when(F.col(name).endswith(".json"), ".json").otherwise(""))
+    ranked = row_numbers(rows, [name], list(order), "_n")
+    taken = F.coalesce(F.regexp_extract(stem, r"--(\d+)$", 1).try_cast("int"), F.lit(1))
+    high = ranked.groupBy("_root", "_ext").agg(F.max(taken).alias("_high"))
+    later = row_numbers(ranked.where("_n > 1"), ["_root", "_ext"], [name, "_n"], "_k").join(high, ["_root", "_ext"])
+    given = F.concat("_root", F.lit("--"), (F.col("_high") + F.col("_k")).cast("string"), "_ext")
+    whole = ranked.where("_n = 1").withColumn("unique_name", F.col(name)).unionByName(later.withColumn("unique_name", given), allowMissingColumns=True)
+    return whole.select(*df.columns, "unique_name")
 
 
 def needs_author(doc: Column, name: Column) -> Column:

@@ -32,94 +32,110 @@ def _finding(when: Column, level: str, rule: str, message: Column | str) -> Colu
     return F.when(when, F.struct(F.lit(level).alias("level"), F.lit(rule).alias("rule"), text.alias("message")))
 
 
-def _blank(v: Column) -> Column:
-    """Whether a value isn't a string with something in it."""
-    return (kind(v) != "STRING") | F.coalesce(v.try_cast("string").rlike(r"^[\s\x{a0}]*$"), F.lit(True))
+BLANK = r"^[\s\x{a0}]*$"
 
 
-def _whole(v: Column) -> Column:
-    return kind(v) == "BIGINT"
+def parsed(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
+    """(path, text, doc): doc is null where the text is no JSON."""
+    return files.select(F.col(path).alias("path"), F.col(text).alias("text"), F.try_parse_json(F.col(text)).alias("doc"))
 
 
-def _not(v: Column, *kinds: str) -> Column:
-    """A value is there and has none of the kinds; nulls and missing values are in order unless VOID isn't."""
-    return F.coalesce(~kind(v).isin(*kinds), F.lit(False))
+#: Fields of which the rules ask the type, and those of which they ask the value.
+DOC_KINDS = ("id", "title", "year_created", "author", "source", "body", "author.name", "author.wiki", "author.born", "author.died", "source.corpus", "source.title", "source.year_published", "source.place", "source.url", "source.printer")
+DOC_TEXTS = ("id", "author.name", "author.wiki", "source.corpus", "source.url")
+LINE_KINDS = ("id", "stanza_id", "text", "part", "words", "marginal_notes")
 
 
-def parsed(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
-    """(path, text, doc): doc is null where the text is no JSON."""
-    return files.select(F.col(path).alias("path"), F.col(text).alias("text"), F.try_parse_json(F.col(text)).alias("doc"))
+def _kinds(v: Column, fields: tuple[str, ...]) -> list[Column]:
+    """Types of fields as columns, found once and not in each rule."""
+    return [kind(get(v, "$." + f)).alias("k_" + f.replace(".", "_")) for f in fields]
+
+
+def _k(field: str) -> Column:
+    return F.col("k_" + field.replace(".", "_"))
+
+
+def _text(field: str) -> Column:
+    return F.col("t_" + field.replace(".", "_"))
+
+
+def _is_not(field: str, *kinds: str) -> Column:
+    """A value is there and has none of the kinds."""
+    return F.coalesce(~_k(field).isin(*kinds), F.lit(False))
+
+
+def _there(field: str) -> Column:
+    return F.coalesce(_k(field) != "VOID", F.lit(False))
+
+
+def _no_text(field: str) -> Column:
+    """A value that isn't a string with something in it."""
+    return (_k(field) != "STRING") | F.coalesce(_text(field).rlike(BLANK), F.lit(True))
 
 
 def _document_rules() -> list[Column]:
     doc = F.col("doc")
-    at = lambda p: get(doc, "$." + p)
-    keys = F.json_object_keys("text")
-    year, author, source = at("year_created"), at("author"), at("source")
-    span = get(doc, "$.year_created", "array<variant>")
+    keys = F.col("keys")
+    span = F.col("span")
     whole_span = (F.size(span) == 2) & F.forall(span, lambda x: kind(x) == "BIGINT")
-    first, last = get(doc, "$.year_created[0]", "bigint"), get(doc, "$.year_created[1]", "bigint")
-    is_list = kind(year) == "ARRAY"
-    in_author, in_source = kind(author) == "OBJECT", kind(source) == "OBJECT"
-    name, wiki = at("author.name"), at("author.wiki")
-    url = at("source.url")
-    here = lambda v: v.isNotNull() & (kind(v) != "VOID")
+    first, last = (get(doc, f"$.year_created[{k}]", "bigint") for k in (0, 1))
+    is_list = F.coalesce(_k("year_created") == "ARRAY", F.lit(False))
+    in_author, in_source = (F.coalesce(_k(f) == "OBJECT", F.lit(False)) for f in ("author", "source"))
+    missing = lambda f: _k(f).isNull()
     extra = F.array_sort(F.array_except(keys, F.array(*map(F.lit, KEYS))))
-    rules = [
+    return [
         _finding(F.lit(True), INFO, "V34", F.concat(F.lit("validated "), F.col("path"))),
         _finding(F.size(extra) > 0, WARNING, "V03", F.concat(F.lit("unexpected keys: "), F.array_join(extra, ", "))),
         *[_finding(~F.array_contains(keys, k), ERROR, "V04", f"missing key {k}") for k in KEYS],
-        _finding(here(at("id")) & ~((kind(at("id")) == "STRING") & (get(doc, "$.id", "string") == "")), INFO, "V05", "id is filled"),
-        _finding(_not(at("title"), "STRING", "VOID"), ERROR, "V06", F.concat(F.lit("title is "), kind(at("title")))),
+        _finding(_there("id") & ~((_k("id") == "STRING") & (_text("id") == "")), INFO, "V05", "id is filled"),
+        _finding(_is_not("title", "STRING", "VOID"), ERROR, "V06", F.concat(F.lit("title is "), _k("title"))),
         _finding(is_list & ~whole_span, ERROR, "V07", "year_created is no list of two whole numbers"),
         _finding(is_list & whole_span & (first > last), ERROR, "V08", "year_created span is reversed"),
-        _finding(_not(year, "BIGINT", "ARRAY", "VOID"), ERROR, "V09", F.concat(F.lit("year_created is "), kind(year))),
-        _finding(_not(author, "OBJECT"), ERROR, "V10", "author is no object"),
-        _finding(in_author & name.isNull(), ERROR, "V11", "author.name is missing"),
-        _finding(in_author & name.isNotNull() & _blank(name), ERROR, "V12", "author.name is no text"),
-        *[_finding(in_author & _not(at(f"author.{f}"), "BIGINT", "BOOLEAN", "VOID"), ERROR, "V13", f"author.{f} is no whole number") for f in ("born", "died")],
-        _finding(in_author & here(wiki) & _blank(wiki), ERROR, "V14", "author.wiki is no text"),
-        _finding(in_author & here(wiki) & ~_blank(wiki) & ~get(doc, "$.author.wiki", "string").rlike(r"^\p{L}"), WARNING, "V15", "author.wiki doesn't begin with a letter"),
-        _finding(_not(source, "OBJECT"), ERROR, "V16", "source is no object"),
-        _finding(in_source & at("source.corpus").isNull(), ERROR, "V17", "source.corpus is missing"),
-        _finding(in_source & at("source.corpus").isNotNull() & _blank(at("source.corpus")), ERROR, "V18", "source.corpus is no text"),
-        *[_finding(in_source & at(f"source.{f}").isNull(), WARNING, "V19", f"source.{f} is missing") for f in SOURCE_FIELDS],
-        _finding(in_source & _not(at("source.year_published"), "BIGINT", "BOOLEAN", "VOID"), ERROR, "V20", "source.year_published is no whole number"),
-        _finding(in_source & here(url) & ((kind(url) != "STRING") | ~get(doc, "$.source.url", "string").rlike("^https?://")), ERROR, "V21", "source.url is no http address"),
-        _finding(in_source & _not(at("source.printer"), "STRING", "VOID"), ERROR, "V21", "source.printer is no text"),
-        _finding(_not(at("body"), "ARRAY"), ERROR, "V22", "body is no list"),
+        _finding(_is_not("year_created", "BIGINT", "ARRAY", "VOID"), ERROR, "V09", F.concat(F.lit("year_created is "), _k("year_created"))),
+        _finding(_is_not("author", "OBJECT"), ERROR, "V10", "author is no object"),
+        _finding(in_author & missing("author.name"), ERROR, "V11", "author.name is missing"),
+        _finding(in_author & ~missing("author.name") & _no_text("author.name"), ERROR, "V12", "author.name is no text"),
+        *[_finding(in_author & _is_not(f"author.{f}", "BIGINT", "BOOLEAN", "VOID"), ERROR, "V13", f"author.{f} is no whole number") for f in ("born", "died")],
+        _finding(in_author & _there("author.wiki") & _no_text("author.wiki"), ERROR, "V14", "author.wiki is no text"),
+        _finding(in_author & _there("author.wiki") & ~_no_text("author.wiki") & ~_text("author.wiki").rlike(r"^\p{L}"), WARNING, "V15", "author.wiki doesn't begin with a letter"),
+        _finding(_is_not("source", "OBJECT"), ERROR, "V16", "source is no object"),
+        _finding(in_source & missing("source.corpus"), ERROR, "V17", "source.corpus is missing"),
+        _finding(in_source & ~missing("source.corpus") & _no_text("source.corpus"), ERROR, "V18", "source.corpus is no text"),
+        *[_finding(in_source & missing(f"source.{f}"), WARNING, "V19", f"source.{f} is missing") for f in SOURCE_FIELDS],
+        _finding(in_source & _is_not("source.year_published", "BIGINT", "BOOLEAN", "VOID"), ERROR, "V20", "source.year_published is no whole number"),
+        _finding(in_source & _there("source.url") & ((_k("source.url") != "STRING") | ~_text("source.url").rlike("^https?://")), ERROR, "V21", "source.url is no http address"),
+        _finding(in_source & _is_not("source.printer", "STRING", "VOID"), ERROR, "V21", "source.printer is no text"),
+        _finding(_is_not("body", "ARRAY"), ERROR, "V22", "body is no list"),
     ]
-    return rules
 
 
 def _line_rules() -> list[Column]:
     line = F.col("line")
-    at = lambda p: get(line, "$." + p)
-    is_object = kind(line) == "OBJECT"
-    part, words, notes = at("part"), at("words"), at("marginal_notes")
-    zero = kind(part).isin("BIGINT", "DECIMAL", "DOUBLE") & (get(line, "$.part", "double") == 0)
-    part_fits = kind(part).isin("VOID") | zero | ((kind(part) == "BOOLEAN") & ~get(line, "$.part", "boolean")) | ((kind(part) == "STRING") & get(line, "$.part", "string").isin(*PARTS))
+    is_object = F.coalesce(F.col("k_line") == "OBJECT", F.lit(False))
+    number = lambda f: _k(f).isin("BIGINT", "DECIMAL", "DOUBLE")
+    fits = (
+        (_k("part") == "VOID") | (number("part") & (get(line, "$.part", "double") == 0)) | ((_k("part") == "BOOLEAN") & ~get(line, "$.part", "boolean"))
+        | ((_k("part") == "STRING") & get(line, "$.part", "string").isin(*PARTS))
+    )
     filled = (
-        ((kind(words) == "ARRAY") & (F.size(get(line, "$.words", "array<variant>")) > 0))
-        | ((kind(words) == "STRING") & (get(line, "$.words", "string") != ""))
-        | (kind(words).isin("BIGINT", "DECIMAL", "DOUBLE") & (get(line, "$.words", "double") != 0))
-        | ((kind(words) == "BOOLEAN") & get(line, "$.words", "boolean"))
-        | ((kind(words) == "OBJECT") & (F.schema_of_variant(words) != "OBJECT<>"))
-    )
-    each = F.coalesce(get(line, "$.marginal_notes", "array<variant>"), F.expr("cast(array() as array<variant>)"))
-    no_text = F.exists(each, lambda n: kind(n) != "STRING")
-    blank = F.exists(each, lambda n: (kind(n) == "STRING") & n.try_cast("string").rlike(r"^[\s\x{a0}]*$"))
+        ((_k("words") == "ARRAY") & (F.size(get(line, "$.words", "array<variant>")) > 0)) | ((_k("words") == "STRING") & (get(line, "$.words", "string") != ""))
+        | (number("words") & (get(line, "$.words", "double") != 0)) | ((_k("words") == "BOOLEAN") & get(line, "$.words", "boolean"))
+        | ((_k("words") == "OBJECT") & (F.schema_of_variant(get(line, "$.words")) != "OBJECT<>"))
+    )
+    notes = F.col("notes")
+    no_text = F.exists(notes, lambda n: F.coalesce(kind(n) != "STRING", F.lit(True)))
+    blank = F.exists(notes, lambda n: (kind(n) == "STRING") & n.try_cast("string").rlike(BLANK))
     return [
         _finding(~is_object, ERROR, "V23", "line is no object"),
-        *[_finding(is_object & at(f).isNull(), ERROR, "V24", f"line misses {f}") for f in LINE_FIELDS],
-        _finding(is_object & _not(at("id"), "BIGINT"), ERROR, "V25", "line id is no whole number"),
+        *[_finding(is_object & _k(f).isNull(), ERROR, "V24", f"line misses {f}") for f in LINE_FIELDS],
+        _finding(is_object & _is_not("id", "BIGINT"), ERROR, "V25", "line id is no whole number"),
         _finding(is_object & F.col("id").isNotNull() & (F.col("id") != F.col("id_before") + 1), WARNING, "V26", F.concat(F.lit("line id "), F.col("id").cast("string"), F.lit(" after "), F.col("id_before").cast("string"))),
-        _finding(is_object & _not(at("stanza_id"), "BIGINT"), ERROR, "V27", "stanza_id is no whole number"),
+        _finding(is_object & _is_not("stanza_id", "BIGINT"), ERROR, "V27", "stanza_id is no whole number"),
         _finding(is_object & (F.col("stanza") < F.col("stanza_before")), WARNING, "V28", "stanza_id decreases"),
-        _finding(is_object & _not(at("text"), "STRING"), ERROR, "V29", "line text is no text"),
-        _finding(is_object & filled, INFO, "V30", "words are filled"),
-        _finding(is_object & part.isNotNull() & ~part_fits, WARNING, "V31", "part is none of false, I, M, F"),
-        _finding(is_object & _not(notes, "ARRAY", "VOID"), ERROR, "V32", "marginal_notes is no list"),
+        _finding(is_object & _is_not("text", "STRING"), ERROR, "V29", "line text is no text"),
+        _finding(is_object & F.coalesce(filled, F.lit(False)), INFO, "V30", "words are filled"),
+        _finding(is_object & _k("part").isNotNull() & ~F.coalesce(fits, F.lit(False)), WARNING, "V31", "part is none of false, I, M, F"),
+        _finding(is_object & _is_not("marginal_notes", "ARRAY", "VOID"), ERROR, "V32", "marginal_notes is no list"),
         _finding(is_object & no_text, ERROR, "V32", "a marginal note is no text"),
         _finding(is_object & blank, WARNING, "V33", "a marginal note is blank"),
     ]
@@ -135,13 +151,18 @@ def findings(files: DataFrame, path: str = "path", text: str = "text") -> DataFr
     bad = docs.where("doc IS NULL").select("path", F.lit(None).cast("int").alias("pos"), F.lit(ERROR).alias("level"), F.lit("V01").alias("rule"), F.lit("no JSON").alias("message"))
     is_object = kind(F.col("doc")) == "OBJECT"
     good = docs.where("doc IS NOT NULL")
+    doc, line = F.col("doc"), F.col("line")
     no_object = good.where(~is_object).select("path", F.explode(F.array(_finding(F.lit(True), INFO, "V34", "validated"), _finding(F.lit(True), ERROR, "V02", "the document is no object"))).alias("f"))
     objects = good.where(is_object)
-    of_docs = objects.select("path", F.explode(F.filter(F.array(*_document_rules()), lambda f: f.isNotNull())).alias("f"))
-    lines = objects.select("path", F.posexplode(get(F.col("doc"), "$.body", "array<variant>")).alias("pos", "line"))
-    number = lambda f: F.when((kind(F.col("line")) == "OBJECT") & _whole(get(F.col("line"), "$." + f)), get(F.col("line"), "$." + f, "bigint"))
+    texts = [get(doc, "$." + f, "string").alias("t_" + f.replace(".", "_")) for f in DOC_TEXTS]
+    asked = objects.select("path", "doc", F.json_object_keys("text").alias("keys"), get(doc, "$.year_created", "array<variant>").alias("span"), *_kinds(doc, DOC_KINDS), *texts)
+    of_docs = asked.select("path", F.explode(F.filter(F.array(*_document_rules()), lambda f: f.isNotNull())).alias("f"))
+    rows = objects.select("path", F.posexplode(get(doc, "$.body", "array<variant>")).alias("pos", "line"))
+    kinds = rows.select("path", "pos", "line", kind(line).alias("k_line"), *_kinds(line, LINE_KINDS))
+    number = lambda f: F.when(_k(f) == "BIGINT", get(line, "$." + f, "bigint"))
+    notes = F.when(_k("marginal_notes") == "ARRAY", get(line, "$.marginal_notes", "array<variant>"))
     before = Window.partitionBy("path").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    lines = lines.withColumn("id", number("id")).withColumn("stanza", number("stanza_id"))
+    lines = kinds.withColumns({"id": number("id"), "stanza": number("stanza_id"), "notes": notes})
     last = lambda c: F.coalesce(F.last(c, ignorenulls=True).over(before), F.lit(-1))
     lines = lines.withColumn("id_before", last("id")).withColumn("stanza_before", last("stanza"))
     of_lines = lines.select("path", "pos", F.explode(F.filter(F.array(*_line_rules()), lambda f: f.isNotNull())).alias("f")).select("path", "pos", "f.*")

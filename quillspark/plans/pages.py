@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quillspark.functions import html as H
 from quillspark.functions import text as T
 from quillspark.operators import enrich, lines
+from quillspark.plans.shared import materialise
 
 NO_NOTES = "cast(array() as array<string>)"
 
@@ -26,8 +27,8 @@ def _numbered(found: Column) -> Column:
 def hymns(pages: DataFrame, books: DataFrame, corpus: str, source: str) -> tuple[DataFrame, DataFrame]:
     """pages (url, book_slug, html) -> (poems with file_name, failures (url, book_slug, error)).
 
-    A hymn's title is its first text; its author is anonymous. Lines are kept in the page's row, so nothing but the
-    look-up of books and the numbering of equal names is shuffled.
+    A hymn's title is its first text; its author is anonymous. Lines are kept in the page's row; what is shuffled is
+    the look-up of books and the names, which are numbered by themselves and joined to the parsed pages.
     """
     known = enrich.first_of_key(books, "slug", "year_published", "title").withColumnsRenamed({"title": "book_title", "slug": "book_slug"})
     page = pages.select("url", "book_slug", H.clean_page(F.col("html")).alias("html")).join(known.withColumn("known", F.lit(True)), "book_slug", "left")
@@ -37,17 +38,18 @@ def hymns(pages: DataFrame, books: DataFrame, corpus: str, source: str) -> tuple
     )
     tried = page.withColumn("error", error).withColumn("found", F.when(F.col("error").isNull(), H.hymn_lines_of("html"))).drop("html")
     tried = tried.withColumn("error", F.when(F.col("error").isNotNull(), F.col("error")).when(F.size("found") == 0, "page has no verse"))
+    tried = materialise(tried.withColumn("_id", F.monotonically_increasing_id()), "pages")  # parsed once, for poems, names and failures
     good = tried.where("error IS NULL")
     title = F.try_element_at(F.filter("found", lambda x: x["text"] != ""), F.lit(1))["text"]
     poems = good.select(
         _null().alias("id"), title.alias("title"), F.col("year_published").alias("year_created"), F.expr("cast(array() as array<string>)").alias("neighbors"), F.lit(False).alias("duplicate"), F.lit(False).alias("locations"),
         F.struct(F.lit("anonymous").alias("name"), *[_null(k).alias(n) for n, k in (("viaf", "string"), ("wiki", "string"), ("country", "string"), ("born", "int"), ("died", "int"))]).alias("author"),
         F.struct(_null().alias("id"), F.lit(corpus).alias("corpus"), F.col("book_title").alias("title"), "publisher", "printer", "place", "year_published", "url").alias("source"),
-        _numbered(F.col("found")).alias("body"), "url", "book_slug",
+        _numbered(F.col("found")).alias("body"), "url", "book_slug", "_id",
     )
-    named = poems.withColumn("name", T.file_name(F.lit(source), F.lit("anonymous"), T.hymn_slug(F.col("title")), F.col("book_slug")))
-    unique = enrich.with_suffixes(named, "name", "url").withColumnRenamed("unique_name", "file_name").drop("name")
-    return unique, tried.where("error IS NOT NULL").select("url", "book_slug", "error")
+    names = good.select("_id", "url", T.file_name(F.lit(source), F.lit("anonymous"), T.hymn_slug(title), F.col("book_slug")).alias("name"))
+    unique = enrich.with_suffixes(names, "name", "url").select("_id", F.col("unique_name").alias("file_name"))
+    return poems.join(unique, "_id").drop("_id"), tried.where("error IS NOT NULL").select("url", "book_slug", "error")
 
 
 def ballads(pages: DataFrame, key: str = "url") -> DataFrame:

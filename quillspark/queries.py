@@ -443,7 +443,7 @@ def hymn_poems(spark: SparkSession, folder: str) -> DataFrame:
     return poems.select("file_name", "title", "year_created", F.size("body").alias("n_lines"), F.col("source.title").alias("source_title"))
 
 
-@query(r"SELECT 'book is not in the manifest' AS error, count(*) AS n FROM poems WHERE len(body) > 0 AND split_part(regexp_replace(file_name, '\.json$', ''), '--', 4) NOT IN (SELECT slug FROM books WHERE slug IS NOT NULL) GROUP BY ALL")
+@query(r"SELECT error, count(*) AS n FROM (SELECT 'book is not in the manifest' AS error FROM poems WHERE len(body) > 0 AND split_part(regexp_replace(file_name, '\.json$', ''), '--', 4) NOT IN (SELECT slug FROM books WHERE slug IS NOT NULL)) GROUP BY error")
 def hymn_failures(spark: SparkSession, folder: str) -> DataFrame:
     pages = _pages(spark, folder).select("url", F.col("book").alias("book_slug"), "html")
     return plans.hymns(pages, table(spark, folder, "books"), "hymns", "hymns")[1].groupBy("error").agg(F.count("*").alias("n"))
