@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as T
-from quillspark.plans.shared import materialise
+from quillspark.plans.shared import materialise, spread
 from quillspark.operators.lines import body_lines, compared_lines  # noqa: F401
 
 
@@ -26,7 +26,7 @@ def line_sets(poems: DataFrame, key: str = "poem_no", least: int = 3) -> DataFra
     looked at; their lines are compared within the poem's row, nothing is exploded.
     """
     by = ["block_title", "block_source"]
-    blocked = poems.select(key, T.normalise(F.col("title")).alias(by[0]), T.normalise(F.col("source.title")).alias(by[1]), "body").where("block_title <> ''")
+    blocked = spread(poems.select(key, "title", F.struct(F.col("source.title")).alias("source"), "body")).select(key, T.normalise(F.col("title")).alias(by[0]), T.normalise(F.col("source.title")).alias(by[1]), "body").where("block_title <> ''")
     several = blocked.groupBy(*by).agg(F.count("*").alias("_n")).where("_n > 1").select(*by)
     texts = F.coalesce(F.expr("transform(body, x -> x.text)"), F.expr("cast(array() as array<string>)"))
     kept = F.filter(F.transform(texts, T.normalise), lambda x: F.length(x) >= least)

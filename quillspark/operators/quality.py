@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.plans.shared import spread
+
 # The keys a document must have, the fields of a source that should be there, the parts of a line.
 KEYS = ("id", "title", "year_created", "author", "source", "body", "neighbors", "duplicate", "locations")
 SOURCE_FIELDS = ("title", "year_published", "place")
@@ -37,7 +39,8 @@ BLANK = r"^[\s\x{a0}]*$"
 
 def parsed(files: DataFrame, path: str = "path", text: str = "text") -> DataFrame:
     """(path, text, doc): doc is null where the text is no JSON."""
-    return files.select(F.col(path).alias("path"), F.col(text).alias("text"), F.try_parse_json(F.col(text)).alias("doc"))
+    rows = spread(files.select(F.col(path).alias("path"), F.col(text).alias("text")))
+    return rows.select("path", "text", F.try_parse_json("text").alias("doc"))
 
 
 #: Fields of which the rules ask the type, and those of which they ask the value.

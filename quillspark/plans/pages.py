@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quillspark.functions import html as H
 from quillspark.functions import text as T
 from quillspark.operators import enrich, lines
-from quillspark.plans.shared import materialise
+from quillspark.plans.shared import materialise, spread
 
 NO_NOTES = "cast(array() as array<string>)"
 
@@ -31,7 +31,7 @@ def hymns(pages: DataFrame, books: DataFrame, corpus: str, source: str) -> tuple
     the look-up of books and the names, which are numbered by themselves and joined to the parsed pages.
     """
     known = enrich.first_of_key(books, "slug", "year_published", "title").withColumnsRenamed({"title": "book_title", "slug": "book_slug"})
-    page = pages.select("url", "book_slug", H.clean_page(F.col("html")).alias("html")).join(known.withColumn("known", F.lit(True)), "book_slug", "left")
+    page = spread(pages.select("url", "book_slug", "html")).select("url", "book_slug", H.clean_page(F.col("html")).alias("html")).join(known.withColumn("known", F.lit(True)), "book_slug", "left")
     error = (
         F.when(F.col("html").isNull(), "page is not cached").when(~H.is_poem_page(F.col("html")), "page has no poem")
         .when(F.col("known").isNull(), "book is not in the manifest").when(H.region(F.col("html")) == "", "page has no region")

@@ -8,7 +8,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -53,7 +52,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """More, evenly filled partitions for costly per-row work, where the input comes in few files."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *[F.col(c) for c in by]) if by else df.repartition(n)
+def spread(df: DataFrame) -> DataFrame:
+    """For costly work per row: the rows in as many partitions as there are cores, if they come from fewer files; else unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
