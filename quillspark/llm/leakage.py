@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.plans.shared import spread
+
 Q, SHARED, BAND, LEAST, MOST = 9, 4, 96, 6, 10
 RUN, KEPT = 12, 2 / 3
 BLOCK = 8_000_000
@@ -194,7 +196,7 @@ class Items:
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", item_key: str = "item_id", text: str = "text") -> DataFrame:
     """(doc_id, item_id) of every document and item of which it holds enough."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text")).where("trim(text) <> ''")
+    rows = spread(docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text")).where("trim(text) <> ''"))
 
     def block(held: list) -> DataFrame:
         index = spark.sparkContext.broadcast(Items([r["id"] for r in held], [r["text"] for r in held]))

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.plans.shared import spread
+
 #: (written as, read as) of each state; a third member repeats the same mistake.
 PAIRS = (
     ("utf-8", "cp1252"), ("utf-8", "cp1252", 2), ("utf-8", "cp1250"), ("utf-8", "iso8859-2"), ("utf-8", "mac_roman"), ("utf-8", "cp850"), ("utf-8", "cp437"),
@@ -203,7 +205,7 @@ def units(poems: DataFrame, pattern: str | None = None) -> DataFrame:
     lines = F.transform("body", lambda x: F.struct(x["id"].alias("line_id"), x["text"].alias("text")))
     every = F.concat(F.array(title), F.coalesce(lines, F.expr("cast(array() as array<struct<line_id:int,text:string>>)")))
     found = F.filter(every, lambda x: x["text"].rlike(UNUSUAL) & x["text"].rlike(pattern) if pattern else x["text"].rlike(UNUSUAL))
-    return poems.select("poem_no", F.explode(found).alias("u")).select("poem_no", "u.line_id", "u.text")
+    return spread(poems.select("poem_no", "title", "body")).select("poem_no", F.explode(found).alias("u")).select("poem_no", "u.line_id", "u.text")
 
 
 def without_garbled(texts: DataFrame) -> DataFrame:

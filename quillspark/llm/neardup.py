@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.plans.shared import materialise
+from quillspark.plans.shared import materialise, spread
 
 WORD = re.compile(r"[^\W_]+")
 BANDS, ROWS, MANTISSA = 36, 4, 4
@@ -239,7 +239,7 @@ def near_duplicates(texts: DataFrame, share: float = 0.7) -> tuple[DataFrame, Da
 def poem_texts(poems: DataFrame) -> DataFrame:
     """(id, text): all body lines of each poem."""
     lines = F.expr("filter(body.text, x -> x IS NOT NULL)")
-    return poems.select(F.col("poem_no").alias("id"), F.array_join(lines, "\n").alias("text"))
+    return spread(poems.select(F.col("poem_no").alias("id"), F.array_join(lines, "\n").alias("text")))
 
 
 def all_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:

@@ -25,6 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.plans.shared import spread
+
 VOCABULARY = "byte_bpe_50k.tiktoken"
 FOLDER = os.environ.get("QUILLSPARK_TOKENIZERS", "/opt/tokenizers")
 MEMO = 400_000
@@ -182,6 +184,6 @@ def encode_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", voca
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], ["key", "ids"])
 
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    rows = spread(docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")))
     kind = rows.schema["key"].dataType.simpleString()
     return rows.mapInArrow(run, f"key {kind}, ids array<int>").select(F.col("key").alias(key), "ids")
