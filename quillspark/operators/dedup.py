@@ -91,7 +91,7 @@ def overlap_markers(pairs: DataFrame, lines: DataFrame, key: str) -> DataFrame:
 
 def parse_plan(lines: DataFrame) -> DataFrame:
     """(reason, delete, keep) from the rows (value) of a pipe table: the header and rows without two .json names are left out."""
-    cells = F.transform(F.split("value", r"\|"), T.strip)
+    cells = F.transform(F.split("value", r"\|"), lambda x: T.strip(x))
     names = lambda k: F.regexp_replace(F.try_element_at("cells", F.lit(k)), "^`+|`+$", "")
     rows = lines.where(F.col("value").startswith("|")).where(~(F.col("value").contains("Reason") & F.col("value").contains("Delete")))
     out = rows.select(cells.alias("cells")).where(F.size("cells") >= 4).select(F.col("cells")[1].alias("reason"), names(3).alias("delete"), names(4).alias("keep"))
