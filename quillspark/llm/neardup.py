@@ -36,8 +36,8 @@ ESTIMATE = 0.2
 SPELLINGS = {"å": "a", "æ": "e", "ä": "e", "ø": "o", "ö": "o", "w": "v", "q": "k", "c": "k", "z": "s", "j": "i", "y": "i", "ÿ": "i"}
 FOLDED = str.maketrans(SPELLINGS)
 DOUBLED = re.compile(r"(.)\1+|ae|oe")
-INVISIBLE = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
-MEMO = 300_000
+INVISIBLE = re.compile("[\xad\u200b\u200c\u200d\u2060\ufeff]")
+MEMO, MASK = 300_000, (1 << 64) - 1
 
 
 def words(text: str) -> list[str]:
@@ -51,24 +51,35 @@ def fold(word: str) -> str:
 
 
 class Hasher:
-    """Hash of a word's folded form, remembered up to a bound."""
+    """Hashes of a word as it is and in its folded form, remembered up to a bound."""
 
     def __init__(self) -> None:
-        self.memo: dict[str, int] = {}
+        self.plain: dict[str, int] = {}
+        self.folded: dict[str, int] = {}
+
+    def learn(self, found: list[str]) -> None:
+        if len(self.plain) > MEMO:
+            self.plain, self.folded = {}, {}
+        for w in set(found).difference(self.plain):
+            self.plain[w] = xxhash.xxh3_64_intdigest(w)
+            self.folded[w] = xxhash.xxh3_64_intdigest(fold(w)) >> 1
 
     def __call__(self, found: list[str]) -> list[int]:
-        memo, out = self.memo, []
-        for w in found:
-            if (h := memo.get(w)) is None:
-                if len(memo) > MEMO:
-                    memo.clear()
-                h = memo[w] = xxhash.xxh3_64_intdigest(fold(w)) >> 1
-            out.append(h)
-        return out
+        self.learn(found)
+        return list(map(self.folded.__getitem__, found))
+
+    def bag(self, found: list[str]) -> tuple[int, int]:
+        """128 bits that depend on the words and how often they occur, not on their order."""
+        self.learn(found)
+        hashes = list(map(self.plain.__getitem__, found))
+        return sum(hashes) & MASK, sum(h * (h >> 7 | 1) & MASK for h in hashes) & MASK
 
 
-def sketch_words(text: str) -> list[str]:
-    return words(text.translate(INVISIBLE)) if text else []
+def sketch_words(text: str, found: list[str] | None = None) -> list[str]:
+    """The words of a text without invisible characters; found, if known, are those with them."""
+    if INVISIBLE.search(text):
+        return words(INVISIBLE.sub("", text))
+    return words(text) if found is None else found
 
 
 def registers(hashes: np.ndarray, starts: np.ndarray, buckets: int = BANDS * ROWS) -> np.ndarray:
@@ -76,10 +87,9 @@ def registers(hashes: np.ndarray, starts: np.ndarray, buckets: int = BANDS * ROW
     out = np.empty((len(starts), buckets), dtype=np.uint8)
     with np.errstate(over="ignore"):
         for b in range(buckets):
-            h = (hashes + np.uint64(b + 1)) * np.uint64(0x9E3779B97F4A7C15 + 2 * b * 0x51ED270B)
+            h = hashes * np.uint64(0x9E3779B97F4A7C15 + 2 * b * 0x51ED270B)
             h ^= h >> np.uint64(32)
-            h *= np.uint64(0xD6E8FEB86659FD93)
-            h ^= h >> np.uint64(29)
+            h *= np.uint64(0xD6E8FEB86659FD93 + 4 * b)
             low = np.minimum.reduceat(h, starts)
             lead = np.minimum(63 - np.floor(np.log2(np.maximum(low, 1).astype(np.float64))).astype(np.int64), 15)
             keep = np.where(lead < 15, low << (lead + 1).astype(np.uint64), low << np.uint64(15))
@@ -114,7 +124,7 @@ def common_words(texts: DataFrame) -> set[int]:
 
         for batch in batches:
             for t in batch.column(1).to_pylist():
-                if found := set(hasher(sketch_words(t))):
+                if t and (found := set(hasher(sketch_words(t)))):
                     n += 1
                     seen.update(found)
             if len(seen) > MEMO:
@@ -141,17 +151,18 @@ def sketches(texts: DataFrame, common: set[int]) -> DataFrame:
             for i, t in zip(ids, texts_):
                 if not t or not (found := words(t)):
                     continue
-                digest = xxhash.xxh3_128_intdigest(" ".join(sorted(found)))
-                hashes = hasher(sketch_words(t))
+                h1, h2 = hasher.bag(found)
+                hashes = hasher(sketch_words(t, found))
                 rare = [h for h in hashes if h not in drop] or hashes or [0]
-                seen: Counter = Counter()
-                elements = set()
-                for h in rare:
-                    elements.add((h + seen[h] * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
-                    seen[h] += 1
+                elements = set(rare)
+                if len(elements) < len(rare):  # a word that comes again is another element
+                    times: Counter = Counter()
+                    for h in rare:
+                        elements.add((h + times[h] * 0x9E3779B97F4A7C15) & MASK)
+                        times[h] += 1
                 keep.append(i)
-                one.append((digest >> 64) - (1 << 63))
-                two.append((digest & (1 << 64) - 1) - (1 << 63))
+                one.append(h1 - (1 << 63))
+                two.append(h2 - (1 << 63))
                 sizes.append(len(elements))
                 flat.extend(elements)
             if keep:
