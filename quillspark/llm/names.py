@@ -94,7 +94,7 @@ def _reading(family: str, given: list[str], dotted: set[str]) -> dict | None:
     if not given or len(family) < 2:
         return None
     bare = association(given[0])
-    first = fold(bare) if bare else fold_given(given[0]) if len(given[0]) > 1 else given[0]
+    first = bare or (fold_given(given[0]) if len(given[0]) > 1 else given[0])
     short = not bare and (len(given[0]) == 1 or given[0] in dotted)
     if not bare and not short:
         first = FULL_FORMS.get(first, first)
