@@ -4,6 +4,7 @@ import os
 import re
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -11,13 +12,17 @@ import __spark_entry__ as entry
 
 def rows(df, columns):
     def plain(x):
-        if x is None or x != x:
+        if hasattr(x, "tolist") and getattr(x, "shape", ()):
+            return [plain(y) for y in x]
+        if isinstance(x, list):
+            return [plain(y) for y in x]
+        if pd.isna(x):
             return None
         if isinstance(x, float):
             return int(x) if x == int(x) else round(x, 9)
-        return list(x) if hasattr(x, "tolist") else x.item() if hasattr(x, "item") else x
+        return x.item() if hasattr(x, "item") else x
 
-    return sorted(repr(tuple(plain(v) if not hasattr(v, "tolist") or getattr(v, "shape", ()) == () else [plain(y) for y in v] for v in r)) for r in df[columns].astype(object).itertuples(index=False, name=None))
+    return sorted(repr(tuple(map(plain, r))) for r in df[columns].astype(object).itertuples(index=False, name=None))
 
 
 @pytest.fixture(scope="module")
