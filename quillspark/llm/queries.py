@@ -56,6 +56,14 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return components.components(table(spark, folder, "pairs"), "poem_a", "poem_b").select(F.col("x").alias("poem_no"), F.col("label").alias("group_no"))
 
 
+P1_SQL = r"""
+WITH w AS (SELECT poem_no, unnest(regexp_extract_all(lower(array_to_string(list_filter(list_transform(body, lambda x: x.text), lambda t: t IS NOT NULL), chr(10))), '[\p{L}\p{N}]+')) AS word FROM poems),
+o AS (SELECT poem_no, word, row_number() OVER (PARTITION BY poem_no, word) AS k FROM w),
+n AS (SELECT poem_no, count(*) AS n FROM o GROUP BY poem_no),
+c AS (SELECT x.poem_no AS a, y.poem_no AS b, count(*) AS c FROM o x JOIN o y ON x.word = y.word AND x.k = y.k AND x.poem_no < y.poem_no GROUP BY ALL)
+SELECT a AS poem_a, b AS poem_b FROM c JOIN n na ON na.poem_no = a JOIN n nb ON nb.poem_no = b WHERE c >= 0.7 * greatest(na.n, nb.n) - 1e-9
+"""
+
 P4_SQL = """
 WITH RECURSIVE e AS (
   SELECT DISTINCT poem_a AS u, poem_b AS v FROM pairs WHERE poem_a <> poem_b
@@ -126,4 +134,4 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_groups, p3_found, p3_restored, p4_found, p5_found, p5_values, p6_found, p6_forms, p7_ids, p8_found, p9_found, p9_shares)}
-ORACLE: dict[str, str] = {"p4_found": P4_SQL, "p5_found": P5_SQL}
+ORACLE: dict[str, str] = {"p1_found": P1_SQL, "p4_found": P4_SQL, "p5_found": P5_SQL}
