@@ -46,6 +46,7 @@ def apply(spark: SparkSession, path: str, plan: str, out: str, dry_run: bool) ->
     if dry_run:
         return 0
     writers.write_version(dedup.apply_plan(docs, planned).drop("doc"), f"{out}/documents")
+    writers.write_version(dedup.quarantined(docs, planned).drop("doc"), f"{out}/quarantine")
     writers.append_log(audit, f"{out}/deletions")
     return 0
 

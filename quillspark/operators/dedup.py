@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as T
-from quillspark.plans.shared import materialise, spread
 from quillspark.operators.lines import body_lines, compared_lines  # noqa: F401
+from quillspark.plans.shared import materialise, spread
 
 
 def blocks(poems: DataFrame, key: str = "poem_no") -> DataFrame:
@@ -103,6 +103,11 @@ def apply_plan(docs: DataFrame, plan: DataFrame, name: str = "file_name") -> Dat
     return docs.join(plan.select(F.col("delete").alias(name)).distinct(), name, "left_anti")
 
 
+def quarantined(docs: DataFrame, plan: DataFrame, name: str = "file_name") -> DataFrame:
+    """The documents that the plan deletes, to be kept apart instead of lost."""
+    return docs.join(plan.select(F.col("delete").alias(name)).distinct(), name, "left_semi")
+
+
 def plan_audit(docs: DataFrame, plan: DataFrame, name: str = "file_name") -> DataFrame:
     """(delete, rows, present, status): each file once; what is planned twice is deleted once, and was missing for its later rows."""
     there = docs.select(F.col(name).alias("delete")).distinct().withColumn("present", F.lit(True))

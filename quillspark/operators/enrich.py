@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as T
+from quillspark.functions.html import MUSIC_BOOKS
 from quillspark.plans.skew import row_numbers
 
 
@@ -100,6 +101,11 @@ def without_lone_prose(pages: DataFrame, book: str = "book", kind: str = "kind",
     return pages.withColumn("_v", verse).where((F.col(kind) != "prose") | (F.col("_v") >= least)).drop("_v")
 
 
+def without_music_books(pages: DataFrame, book: str = "book", books: tuple[str, ...] = MUSIC_BOOKS) -> DataFrame:
+    """Pages of books that hold settings of a poem and no poems go; pages without a book stay."""
+    return pages.where(~F.coalesce(F.col(book).isin(*books), F.lit(False)))
+
+
 def keeps_body(kind: Column, n_lines: Column) -> Column:
     """Whether a body is kept: one line alone only of prose, none never."""
     return (n_lines > 1) | ((n_lines == 1) & (kind == "prose"))

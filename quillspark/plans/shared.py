@@ -55,4 +55,4 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """For costly work per row: the rows in as many partitions as there are cores, if they come from fewer files; else unchanged."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if len(df._jdf.inputFiles()) < cores else df  # the names stay in the JVM

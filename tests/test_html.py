@@ -7,6 +7,7 @@ HYMN = """<html><script>"<div class='poetry'>"</script><!-- <div class="poetry">
 <div class="x poetry"><div class="verse-line">Je<span class="legacy-page-break"><span class="page-break-mark">|</span><a class="facsimile-link">3v</a></span>sum
  <b>Krist</b>†</div><div class="verse-line"></div></div>
 <div class="poetry"><div class="verse-line"><div>nested</div> &amp; more<span class="marginal-note"><span class="marginal-note-content"> Luc. 2 </span></span></div></div></results></div></html>"""
+H_CLEAN = HYMN.split("-->")[1]
 BALLAD = """<b>Titel:</b> (Ridder &amp; mø)<br/><table><tr><td><span class="source">f&oslash;r<sup>1</sup></span>&nbsp;</td></tr><tr><td><br/>[1]</td></tr><tr><td><span class="source"><em>H</em>er &lt;st&gt;aar</span>&nbsp;</td><td>mod</td></tr>
 <tr><br/></tr><tr><td><br/>2.</td></tr><tr><td><span class="source">* | *</span></td></tr><tr><td><br/>3</td></tr><tr><td><span class="source">slut [men] finis</span></td></tr></table>"""
 CRUMBS = "<ol class=breadcrumb><li class=breadcrumb-item><a href=/>Bibliotek</a></li><li class=breadcrumb-item><a href=/books/b_x/>Anna And: nye digte</a></li><li class='breadcrumb-item active'>Afsnit: Sangen</li></ol>"
@@ -79,6 +80,8 @@ def test_page_predicates(spark):
     assert [one(spark, x, H.body_type) for x in (VERSE, DRAMA, PROSE, "<p>")] == ["line", "drama", "prose", "unknown"]
     assert [one(spark, x, H.is_music_page) for x in (VERSE, MUSIC)] == [False, True]
     assert [tuple(x) for x in one(spark, VERSE, H.breadcrumbs)] == [("Bibliotek", "/"), ("Anna And: nye digte", "/books/b_x/"), ("Afsnit: Sangen", "")]
+    assert one(spark, VERSE, lambda c: H.is_standalone(H.breadcrumbs(c))) is False and one(spark, PROSE, lambda c: H.is_standalone(H.breadcrumbs(c))) is True
+    assert "Krist" in H.first_stanza(H_CLEAN) and H.first_stanza("<p>") == ""
     assert one(spark, "<div class=text-container><h1>Del I</h1><h1>Vise<br><small>x</small></h1><h1>Nr. 3</h1>", H.title_h1) == "Vise"
     assert tuple(one(spark, "<title>A: Bog, Titel</title>", H.title_tag)) == ("Titel", "A") and tuple(one(spark, "<p>", H.title_tag)) == (None, None)
     assert one(spark, BOOK, H.metadata)[0] == {"Forfatter": "Anna And", "Sprog": "y", "Udgivelsesår": "1862"}

@@ -58,6 +58,7 @@ def test_plan(spark):
     assert [tuple(r) for r in plan.collect()] == [("r1", "a.json", "b.json"), ("r2", "a.json", "c.json"), ("r3", "z.json", "a.json")]
     docs = spark.createDataFrame([("a.json",), ("b.json",), ("c.json",)], "file_name string")
     assert sorted(r[0] for r in dedup.apply_plan(docs, plan).collect()) == ["b.json", "c.json"]
+    assert [r[0] for r in dedup.quarantined(docs, plan).collect()] == ["a.json"]
     audit = {r["delete"]: (r["rows"], r["status"], r["missing_rows"]) for r in dedup.plan_audit(docs, plan).collect()}
     assert audit == {"a.json": (2, "deleted", 1), "z.json": (1, "missing", 1)}
     assert [tuple(r) for r in dedup.planned_often(plan).collect()] == [("a.json", 2)]
@@ -96,6 +97,8 @@ def test_suffixes_and_editions(spark):
     assert got == {1: "x.json", 2: "x--3.json", 3: "x--2.json", 4: "y.json", 5: "x--4.json", 6: None}
     works = spark.createDataFrame([("w",), ("w_dipl",), ("w.da",), ("v_dipl",), ("v.da",), ("u.da",)], "slug string")
     assert sorted(r["slug"] for r in enrich.chosen_editions(works).collect()) == ["v_dipl", "w"]
+    music = spark.createDataFrame([("ingemann-bs_aftensang",), ("x",), (None,)], "book string")
+    assert [r[0] for r in enrich.without_music_books(music).collect()] == ["x", None]
     pages = spark.createDataFrame([("b", "line")] * 3 + [("b", "prose"), ("c", "prose"), ("d", "line"), ("d", "prose")], "book string, kind string")
     assert sorted(map(tuple, enrich.without_lone_prose(pages).collect())) == [("b", "line")] * 3 + [("b", "prose"), ("d", "line")]
 
