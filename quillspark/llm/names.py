@@ -248,7 +248,10 @@ def resolve(names: DataFrame, rounds: int = 12) -> DataFrame:
     """names (name, distinct) -> (name, group): the group is the id of one of its members."""
     start = materialise(names.select(F.monotonically_increasing_id().alias("id"), "name"), "names")
     parsed = materialise(_parsed(start), "parsed")
-    members = parsed.select("id", "name", F.col("id").alias("group"))
+    # names with equal readings are one profile from the start, so blocks hold each once
+    reading = F.when(F.size("readings") > 0, F.to_json("readings")).otherwise(F.col("id").cast("string"))
+    keyed = parsed.select("id", "name", reading.alias("key"))
+    members = materialise(keyed.join(keyed.groupBy("key").agg(F.min("id").alias("group")), "key").select("id", "name", "group"), "members")
     for _ in range(rounds):
         profiles = members.join(parsed.select("id", "readings"), "id").groupBy(F.col("group").alias("id")).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("readings")))).alias("readings"))
         profiles = materialise(profiles, "profiles")
