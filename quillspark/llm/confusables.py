@@ -27,6 +27,8 @@ LOOKALIKES = {
     "Greek": dict(zip("οανιυρςϲκτΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳ", "oaviupscktABEZHIKMNOPTYXCj")),
     "Armenian": dict(zip("օսոհցքՕՍԼ", "ounhgpOUL")),
 }
+# Joiners, fillers and vowel separators that have no form of their own and aren't of the format category.
+UNSEEN = (0x34F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x180B, 0x180C, 0x180D, 0x3164, 0xFFA0)
 SPACE, INVISIBLE, WIDE, MARK, ALIKE = "space", "invisible", "wide", "mark", "alike"
 
 
@@ -42,7 +44,7 @@ def tables() -> tuple[list[tuple[str, str, str]], list[tuple[str, str]]]:
         parts = unicodedata.decomposition(ch)
         if kind in ("Cn", "Cs", "Co"):
             continue
-        if kind == "Cf" or 0xFE00 <= c <= 0xFE0F:
+        if kind == "Cf" or 0xFE00 <= c <= 0xFE0F or c in UNSEEN:
             one.append((ch, "", INVISIBLE))
         elif kind == "Zs":
             one.append((ch, " ", SPACE))

@@ -37,6 +37,7 @@ ENTER, LEAVE = math.log(1e-5), math.log(0.05)
 #: Emissions of source characters: the letters of the corpus' languages, then whole classes.
 SOURCE = {"ø": 2e-2, "æ": 1e-2, "å": 1e-2, "Ø": 1e-3, "Æ": 1e-3, "Å": 1e-3, "ö": 2e-3, "ä": 5e-4, "ü": 5e-4, "ÿ": 5e-4, "é": 1e-4, "ß": 1e-4, "ñ": 1e-4, "Ö": 1e-4, "Ä": 1e-4, "Ü": 1e-4}
 SYMBOL, OTHER_LETTER, QUOTE = 1e-5, 1e-7, 1e-7
+ENDS = " .,;:!?/\n"
 QUOTES, LETTER_SYMBOLS = "«»", "µªº"
 ORDINARY = "æøåÆØÅöäüÖÄÜÿß"
 
@@ -79,6 +80,16 @@ def _table(written: str, read: str, times: int = 1) -> dict[str, str]:
     return out
 
 
+def beside(text: str, start: int, end: int) -> tuple[str, str]:
+    """The characters beside a place, invisible ones left out; spaces at the ends."""
+    start -= 1
+    while start >= 0 and unicodedata.category(text[start]) == "Cf":
+        start -= 1
+    while end < len(text) and unicodedata.category(text[end]) == "Cf":
+        end += 1
+    return text[start] if start >= 0 else " ", text[end] if end < len(text) else " "
+
+
 class Model:
     def __init__(self) -> None:
         self.tables = [_table(*p) for p in PAIRS]
@@ -97,7 +108,7 @@ class Model:
 
     @staticmethod
     def clean(text: str, i: int) -> float:
-        c, left, right = text[i], text[i - 1] if i else " ", text[i + 1] if i + 1 < len(text) else " "
+        c, (left, right) = text[i], beside(text, i, i + 1)
         if c == LOST or 0x80 <= ord(c) < 0xA0:
             return math.log(1e-12)
         if c in QUOTES:
@@ -105,18 +116,20 @@ class Model:
         if c.isalpha() and c not in LETTER_SYMBOLS or unicodedata.combining(c):
             inner = left.islower() or left.isupper() and not right.isupper() and not text[max(i - 2, 0) : i - 1].isupper()
             initial = not left.isalpha() and right.islower()
+            if left in ENDS and right in ENDS and not unicodedata.combining(c):  # a word of one letter
+                return math.log(1e-10)
             return math.log(1e-10 if c.isupper() and inner else 1e-9 if c.isupper() and initial else 1e-6)
         if unicodedata.category(c) in ("Zs", "Cf"):
             return math.log(1e-3)
         if left.isalpha() or right.isalpha():
             return math.log(1e-9)
         alone = lambda x: x.isspace() or x.isdigit()
-        return math.log(1e-4) if alone(left) and alone(right) else math.log(1e-7)
+        return math.log(1e-4) if alone(left) and alone(right) else math.log(1e-9)
 
     @staticmethod
     def source(c: str, text: str, i: int, end: int) -> float:
         """Emission of the unit text[i:end] that stands for c."""
-        left, right = text[i - 1] if i else " ", text[end] if end < len(text) else " "
+        left, right = beside(text, i, end)
         if c in QUOTES:
             return math.log(QUOTE)
         p = SOURCE.get(c, OTHER_LETTER if c.isalpha() else SYMBOL)
@@ -127,7 +140,7 @@ class Model:
             elif left.isdigit():
                 p *= 1e-5
             elif not any(letters):
-                p *= 0.05 if c in "åø" else 1e-4
+                p *= 0.05 if c in "åøÅØ" else 1e-4
         return math.log(p)
 
     def label(self, text: str) -> list[tuple[int, int, int]]:

@@ -7,7 +7,7 @@ from quillspark.llm import mojibake as M
 
 MODEL = M.Model()
 CLEAN = ["Den ø banker", "Die Größe, Klar sva", "SÃCTVS, Fager", "Oc hã Døden", "Uñ Han sejler", "† Hos himmel †", "¾ Miil", "12° nord", "grav: µ", "«Â»", "— André", "– afskrift", "(λόγος)", "[песня]", "¶ Bag", "her/ ×", "igen! ®",
-         "¿ Du svarer", "Kom̄ nu", "Ʒ Vi jager", "NAADESPŸD", "måne", "Ｈｖｅｒ", "a b", "", "   ", "slöret gräder"]
+         "¿ Du svarer", "Kom̄ nu", "Ʒ Vi jager", "NAADESPŸD", "måne", "Ｈｖｅｒ", "a b", "", "   ", "slöret gräder", "svarer hist \u200b†", "¿\u200c Du", "12\ufeff° nord"]
 LINES = ["Hver søn på ænge", "Ørnen rør Æblet på Åsen", "Så længe vågner søjlen", "Røst over båren", "Dér står væven på øen"]
 
 
@@ -31,7 +31,7 @@ def test_whole_lines_come_back(pair, line):
         assert MODEL.restore(bad, spans) == line
 
 
-@pytest.mark.parametrize("bad,good", [("Snart grµder løvet", "Snart græder løvet"), ("T†rnet ved søen", "Tårnet ved søen"), ("sk¿nt på øen", "skønt på øen"), ("bl√• dal og bækken", "blå dal og bækken"), ("PŒ marken", "På marken"), ("hÕnd og fod", "hånd og fod"), ("’del ven i søen", None), ("Â¶ lÃ¦ser", "¶ læser"), ("s�n", "s�n"), ("s��n", "s��n"), ("kÃƒÂ¸b", "køb")])
+@pytest.mark.parametrize("bad,good", [("Snart grµder løvet", "Snart græder løvet"), ("T†rnet ved søen", "Tårnet ved søen"), ("sk¿nt på øen", "skønt på øen"), ("bl√• dal og bækken", "blå dal og bækken"), ("PŒ marken", "På marken"), ("hÕnd og fod", "hånd og fod"), ("’del ven i søen", None), ("Â¶ lÃ¦ser", "¶ læser"), ("s�n", "s�n"), ("s��n", "s��n"), ("kÃƒÂ¸b", "køb"), ("min gammel ›,", "min gammel ø,"), ("for min fattig \x9d!", "for min fattig Ø!"), ("man bitter Ï", "man bitter Ø"), ("en frisk †/", "en frisk å/")])
 def test_parts(bad, good):
     spans = MODEL.label(bad)
     assert spans and (good is None or MODEL.restore(bad, spans) == good)
