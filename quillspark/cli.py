@@ -5,10 +5,11 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.operators import dedup, enrich, quality, reports
+from quillspark.operators import dedup, enrich, lines, quality, reports
 from quillspark.sources import readers, writers
 
 
@@ -18,22 +19,29 @@ def session() -> SparkSession:
 
 def validate(spark: SparkSession, path: str) -> int:
     """0: clean; 1: some document has an error; 2: there are no documents."""
-    files = readers.documents(spark, path)
-    if not files.limit(1).count():
+    try:
+        files = readers.documents(spark, path)
+        empty = not files.limit(1).count()
+    except AnalysisException:  # the path doesn't exist
+        empty = True
+    if empty:
         print(f"no .json files at {path}")
         return 2
     found = quality.findings(files).cache()
     quality.by_level(found).where("path IS NULL").show()
     found.where("level <> 'info'").orderBy("path", "pos", "rule").show(200, False)
-    return int(quality.has_errors(found))
+    status = int(quality.has_errors(found))
+    found.unpersist()  # a later call must see the files as they are then
+    return status
 
 
 def duplicates(spark: SparkSession, path: str, out: str) -> int:
     poems = readers.poems(spark, path)
     pairs = dedup.contained_poems(poems, "file_name").cache()
     writers.write_version(pairs, f"{out}/pairs")
-    writers.write_version(dedup.overlap_markers(pairs, dedup.compared_lines(dedup.body_lines(poems, "file_name")), "file_name"), f"{out}/overlap")
+    writers.write_version(dedup.overlap_markers(pairs, lines.compared_lines(lines.body_lines(poems, "file_name")), "file_name"), f"{out}/overlap")
     dedup.most_contained_first(pairs, 20).show(20, False)
+    pairs.unpersist()
     return 0
 
 
@@ -65,7 +73,9 @@ def authors(spark: SparkSession, path: str, alias: str, dimension: str, source:
     enrich.rename_counts(found).show()
     found.where("new_name IS NOT NULL").orderBy("file_name").select("file_name", "new_name").show(20, False)
     clash = enrich.collisions(found.where(F.col("new_name").isNotNull()), "new_name")
-    return int(not dry_run and clash.limit(1).count() > 0)
+    status = int(not dry_run and clash.limit(1).count() > 0)
+    found.unpersist()
+    return status
 
 
 def main(args: list[str] | None = None) -> int:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as T
-from quillspark.operators.lines import body_lines, compared_lines  # noqa: F401
 from quillspark.plans.shared import materialise, spread
 
 

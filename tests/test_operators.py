@@ -159,7 +159,7 @@ def test_whole_documents(spark):
     old = {k: v for k, v in GOOD.items() if k not in ("neighbors", "duplicate", "locations")}
     broken = changed()
     broken["body"] = [{"id": 0, "stanza_id": 0, "text": "a"}, {"id": "x", "stanza_id": 0, "text": "b"}, {"id": 1, "stanza_id": 0, "text": "c"}]
-    got = rules(spark, [GOOD, old, {"body": 1, "title": "x"}, "{", "", None, "[1]", "3", broken, changed(body__0__part=0, body=[]) if False else changed(body=[]), changed(body__1__part=0)])
+    got = rules(spark, [GOOD, old, {"body": 1, "title": "x"}, "{", "", None, "[1]", "3", broken, changed(body=[]), changed(body__1__part=0)])
     assert got[0] == [] and got[1] == ["V04"] * 3 and got[2] == ["V04"] * 7 + ["V22"]
     assert got[3:8] == [["V01"], ["V01"], ["V01"], ["V02"], ["V02"]] and got[8] == ["V25"] and got[9:] == [[], []]
 
