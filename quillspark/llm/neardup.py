@@ -1,10 +1,12 @@
 """Problem 1: records that share most of their content although lines or words differ.
 
-HyperMinHash sketches: each of 144 buckets keeps, of the smallest hash among a record's rarer words, the
-count of leading zeros (4 bits) and the mantissa bits that follow (4 bits). Each bucket has a hash function
-of its own, so that short records leave none empty. Four compressed registers form a band; records that agree
-in a band are candidates. The Jaccard similarity estimated from the registers, corrected for the agreements
-that compression brings by chance, drops most false candidates; the rest are verified on the words themselves.
+HyperMinHash sketches: each bucket keeps, of the smallest hash among a record's words (a word that comes again
+is another element), the count of leading zeros (4 bits) and the mantissa bits that follow (4 bits). Each bucket
+has a hash function of its own, so that short records leave none empty. The smallest elements of up to six
+buckets form a band, fewer where together they are as rare as one record in all; records that agree in a band are candidates.
+All words enter: records of which 70 % of the words agree have a Jaccard similarity of 0.7 / 1.3 at least, however
+often their words occur elsewhere. The similarity estimated from the registers, corrected for the agreements that
+compression brings by chance, drops most false candidates; the rest are verified on the words themselves.
 
 Equal records (same words, as often) are one class: only its representative is sketched and compared.
 
@@ -14,6 +16,7 @@ order don't matter; repeated words count as often as they occur; texts of any le
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import Counter
@@ -27,16 +30,17 @@ from pyspark.sql import functions as F
 from quillspark.plans.shared import materialise, spread
 
 WORD = re.compile(r"[^\W_]+")
-BANDS, ROWS, MANTISSA = 36, 4, 4
-#: Words in more than this share of the records don't enter sketches. Their number is at most the mean count of distinct words divided by this share.
-COMMON = 0.005
-#: Two thirds of what an agreement of 70 % of the words leaves for the rarer words in the worst of even mixes, less six standard errors.
-ESTIMATE = 0.2
+BANDS, ROWS, MANTISSA = 72, 6, 4
+#: Buckets whose compressed registers are kept for the estimate.
+KEPT = 128
+#: Words in at most this share of the records, or in FEW records, count as equally rare. The number of others is at most the mean count of distinct words divided by this share.
+COMMON, FEW = 0.005, 20
+#: What an agreement of 70 % of the words guarantees, 0.7 / 1.3, less five standard errors of KEPT registers.
+ESTIMATE = 0.3
 #: Letters that old and new spelling exchange; sketches see the second form, verification never does.
 SPELLINGS = {"å": "a", "æ": "e", "ä": "e", "ø": "o", "ö": "o", "w": "v", "q": "k", "c": "k", "z": "s", "j": "i", "y": "i", "ÿ": "i"}
 FOLDED = str.maketrans(SPELLINGS)
 DOUBLED = re.compile(r"(.)\1+|ae|oe")
-INVISIBLE = re.compile("[\xad\u200b\u200c\u200d\u2060\ufeff]")
 MEMO, MASK = 300_000, (1 << 64) - 1
 
 
@@ -75,26 +79,47 @@ class Hasher:
         return sum(hashes) & MASK, sum(h * (h >> 7 | 1) & MASK for h in hashes) & MASK
 
 
-def sketch_words(text: str, found: list[str] | None = None) -> list[str]:
-    """The words of a text without invisible characters; found, if known, are those with them."""
-    if INVISIBLE.search(text):
-        return words(INVISIBLE.sub("", text))
-    return words(text) if found is None else found
-
-
-def registers(hashes: np.ndarray, starts: np.ndarray, buckets: int = BANDS * ROWS) -> np.ndarray:
-    """Registers of each record; its element hashes begin at starts. One byte: leading zeros, then mantissa."""
-    out = np.empty((len(starts), buckets), dtype=np.uint8)
+def minima(hashes: np.ndarray, starts: np.ndarray, b: int, rarity: np.ndarray | None = None) -> np.ndarray:
+    """Smallest hash of each record in bucket b; its element hashes begin at starts. With rarity, the lowest 4 bits are that of the element."""
     with np.errstate(over="ignore"):
-        for b in range(buckets):
-            h = hashes * np.uint64(0x9E3779B97F4A7C15 + 2 * b * 0x51ED270B)
-            h ^= h >> np.uint64(32)
-            h *= np.uint64(0xD6E8FEB86659FD93 + 4 * b)
-            low = np.minimum.reduceat(h, starts)
-            lead = np.minimum(63 - np.floor(np.log2(np.maximum(low, 1).astype(np.float64))).astype(np.int64), 15)
-            keep = np.where(lead < 15, low << (lead + 1).astype(np.uint64), low << np.uint64(15))
-            out[:, b] = (lead << MANTISSA).astype(np.uint8) | (keep >> np.uint64(64 - MANTISSA)).astype(np.uint8)
-    return out
+        h = hashes * np.uint64(0x9E3779B97F4A7C15 + 2 * b * 0x51ED270B)
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93 + 4 * b)
+    if rarity is not None:
+        h &= np.uint64(MASK - 15)
+        h |= rarity
+    return np.minimum.reduceat(h, starts)
+
+
+def compressed(low: np.ndarray) -> np.ndarray:
+    """Registers of smallest hashes. One byte: leading zeros, then mantissa."""
+    lead = np.minimum(63 - np.floor(np.log2(np.maximum(low, 1).astype(np.float64))).astype(np.int64), 15)
+    keep = np.where(lead < 15, low << (lead + 1).astype(np.uint64), low << np.uint64(15))
+    return (lead << MANTISSA).astype(np.uint8) | (keep >> np.uint64(64 - MANTISSA)).astype(np.uint8)
+
+
+def registers(hashes: np.ndarray, starts: np.ndarray, buckets: int = KEPT) -> np.ndarray:
+    """Registers of each record; its element hashes begin at starts."""
+    return np.stack([compressed(minima(hashes, starts, b)) for b in range(buckets)], axis=1)
+
+
+def bands_and_registers(hashes: np.ndarray, starts: np.ndarray, rarity: np.ndarray, enough: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys of each record's bands, its first KEPT registers). A band takes elements until their rarity adds up to enough bits."""
+    keys, regs = np.empty((len(starts), BANDS), dtype=np.uint32), np.empty((len(starts), KEPT), dtype=np.uint8)
+    for band in range(BANDS):
+        key, bits = np.full(len(starts), band + 1, dtype=np.uint64), np.zeros(len(starts), dtype=np.int64)
+        for b in range(band * ROWS, (band + 1) * ROWS):
+            low = minima(hashes, starts, b, rarity)
+            if b < KEPT:
+                regs[:, b] = compressed(low)
+            with np.errstate(over="ignore"):
+                more = (key ^ low) * np.uint64(0x9E3779B97F4A7C15)
+                more ^= more >> np.uint64(29)
+            key = np.where(bits < enough, more, key)
+            bits += (low & np.uint64(15)).astype(np.int64)
+        with np.errstate(over="ignore"):
+            keys[:, band] = key * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)
+    return keys, regs
 
 
 def chance(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -112,8 +137,8 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.n
     return np.clip(((a == b).mean(axis=1) - by_chance) / (1 - by_chance), 0, 1)
 
 
-def common_words(texts: DataFrame) -> set[int]:
-    """Hashes of the words that more than COMMON of all records with words hold; bounded as said there."""
+def common_words(texts: DataFrame) -> tuple[dict[int, int], int, int]:
+    """({hash: bits of rarity} of the words that more than COMMON of all records with words hold, bounded as said there; the bits of all other words; the bits that a band needs)."""
 
     def count(batches):
         hasher, seen, n = Hasher(), Counter(), 0
@@ -124,7 +149,7 @@ def common_words(texts: DataFrame) -> set[int]:
 
         for batch in batches:
             for t in batch.column(1).to_pylist():
-                if t and (found := set(hasher(sketch_words(t)))):
+                if t and (found := set(hasher(words(t)))):
                     n += 1
                     seen.update(found)
             if len(seen) > MEMO:
@@ -136,70 +161,63 @@ def common_words(texts: DataFrame) -> set[int]:
     per = texts.mapInArrow(count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
     per = materialise(per, "words")
     total = per.where("w = -1").agg(F.sum("n")).first()[0] or 0
-    return {r["w"] for r in per.where((F.col("w") >= 0) & (F.col("n") > max(COMMON * total, 20))).collect()}
+    few = max(COMMON * total, FEW)
+    bits = lambda n: min(max(int(math.log2(max(total, 1) / n)), 0), 15)
+    common = {r["w"]: bits(r["n"]) for r in per.where((F.col("w") >= 0) & (F.col("n") > few)).collect()}
+    return common, bits(few), math.ceil(math.log2(max(total, 2)))
 
 
-def sketches(texts: DataFrame, common: set[int]) -> DataFrame:
-    """(id, h1, h2, n, regs) of each record with words: a 128-bit hash of its words, and the sketch of its n rarer words (of all words where it has no rarer ones)."""
+def sketches(texts: DataFrame, common: tuple[dict[int, int], int, int]) -> DataFrame:
+    """(id, h1, h2, n, bands, regs) of each record with words: a 128-bit hash of its words, their number, and the sketch of them."""
     shared = texts.sparkSession.sparkContext.broadcast(common)
 
     def run(batches):
-        hasher, drop = Hasher(), shared.value
-        for batch in batches:
+        hasher, (bits, rare, enough) = Hasher(), shared.value
+        for batch in (part for whole in batches for part in (whole.slice(k, 1000) for k in range(0, whole.num_rows, 1000))):
             ids, texts_ = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            keep, one, two, sizes, flat = [], [], [], [], []
+            keep, one, two, sizes, flat, rarity = [], [], [], [], [], []
             for i, t in zip(ids, texts_):
                 if not t or not (found := words(t)):
                     continue
                 h1, h2 = hasher.bag(found)
-                hashes = hasher(sketch_words(t, found))
-                rare = [h for h in hashes if h not in drop] or hashes or [0]
-                elements = set(rare)
-                if len(elements) < len(rare):  # a word that comes again is another element
-                    times: Counter = Counter()
-                    for h in rare:
-                        elements.add((h + times[h] * 0x9E3779B97F4A7C15) & MASK)
-                        times[h] += 1
+                times: dict[int, int] = {}
+                for h in hasher(found):  # a word that comes again is another element
+                    k = times[h] = times.get(h, -1) + 1
+                    flat.append((h + k * 0x9E3779B97F4A7C15) & MASK)
+                    rarity.append(bits.get(h, rare))
                 keep.append(i)
                 one.append(h1 - (1 << 63))
                 two.append(h2 - (1 << 63))
-                sizes.append(len(elements))
-                flat.extend(elements)
+                sizes.append(len(found))
             if keep:
                 starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-                regs = registers(np.array(flat, dtype=np.uint64), starts)
+                keys, regs = bands_and_registers(np.array(flat, dtype=np.uint64), starts, np.array(rarity, dtype=np.uint64), enough)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keep, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(sizes, pa.int32()), pa.array([r.tobytes() for r in regs], pa.binary())],
-                    ["id", "h1", "h2", "n", "regs"],
+                    [pa.array(keep, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(sizes, pa.int32()), *(pa.array([r.tobytes() for r in x], pa.binary()) for x in (keys, regs))],
+                    ["id", "h1", "h2", "n", "bands", "regs"],
                 )
 
-    return texts.mapInArrow(run, "id long, h1 long, h2 long, n int, regs binary")
+    return texts.mapInArrow(run, "id long, h1 long, h2 long, n int, bands binary, regs binary")
 
 
 def band_keys(sketched: DataFrame) -> DataFrame:
-    """(band, id): the registers of each band, hashed to 32 bits together with the band's number."""
+    """(band, id, n): the key of each band, 32 bits that depend on the band's number too."""
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, BANDS * ROWS)
-            raw = regs.reshape(-1, BANDS, ROWS).copy().view("<u4").reshape(-1, BANDS).astype(np.uint64)
-            with np.errstate(over="ignore"):
-                key = (raw + (np.arange(BANDS, dtype=np.uint64) << np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-                key ^= key >> np.uint64(29)
-                key *= np.uint64(0xD6E8FEB86659FD93)
-            ids = np.repeat(batch.column(0).to_numpy(), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array((key >> np.uint64(32)).astype(np.uint32).view(np.int32).ravel()), pa.array(ids)], ["band", "id"])
+            keys = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(np.repeat(batch.column(k).to_numpy(), BANDS)) for k in (0, 1))], ["band", "id", "n"])
 
-    return sketched.select("id", "regs").mapInArrow(run, "band int, id long")
+    return sketched.select("id", "n", "bands").mapInArrow(run, "band int, id long, n int")
 
 
-def candidates(reps: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of representatives that agree in a band and whose estimate is high enough."""
+def candidates(reps: DataFrame, share: float) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of representatives that agree in a band, can agree by their lengths, and whose estimate is high enough."""
     bands = band_keys(reps)
-    right = bands.select("band", F.col("id").alias("b"))
-    pairs = bands.select("band", F.col("id").alias("a")).join(right.hint("merge"), "band").where("a < b").select("a", "b").distinct()
+    right = bands.select("band", F.col("id").alias("b"), F.col("n").alias("m"))
+    pairs = bands.select("band", F.col("id").alias("a"), "n").join(right.hint("merge"), "band").where("a < b").where(F.least("n", "m") >= share * F.greatest("n", "m") - 1e-9).select("a", "b").distinct()
     side = lambda x: reps.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("regs").alias(f"r_{x}"))
     joined = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
 
@@ -242,8 +260,8 @@ def near_duplicates(texts: DataFrame, share: float = 0.7) -> tuple[DataFrame, Da
     sketched = materialise(sketches(texts, common), "sketches")
     reps = sketched.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
     members = materialise(sketched.select("id", "h1", "h2").join(reps, ["h1", "h2"]).select("id", "rep"), "members")
-    chosen = sketched.join(members.where("id = rep").select("id").hint("merge"), "id", "left_semi").select("id", "n", "regs")
-    pairs = materialise(candidates(chosen), "candidates")
+    chosen = sketched.join(members.where("id = rep").select("id").hint("merge"), "id", "left_semi").select("id", "n", "bands", "regs")
+    pairs = materialise(candidates(chosen, share), "candidates")
     return materialise(verified(pairs, texts, share), "pairs"), members
 
 

@@ -68,3 +68,34 @@ def test_groups_give_one_row_a_poem(spark, folder):
     assert len({r["poem_no"] for r in rows}) == len(rows)
     group = {r["poem_no"]: r["group_no"] for r in rows}
     assert all(group[r["poem_a"]] == group[r["poem_b"]] for r in queries.p1_found(spark, folder).collect())
+
+
+def slipped(rnd, base, n):
+    out = list(base)
+    for k in rnd.sample(range(len(base)), n):
+        w = out[k]
+        at = rnd.randrange(len(w))
+        out[k] = w[:at] + rnd.choice("bdfghkmnprtu") + w[at:] + rnd.choice("bdfghkmnprtu")
+    return out
+
+
+def background(rnd, n, vocab):
+    return [[rnd.choice(vocab) if rnd.random() < 0.4 else rnd.choice(["og", "den", "i", "en", "som", "det"]) for _ in range(rnd.randint(20, 60))] for _ in range(n)]
+
+
+def recall(spark, texts):
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    bags = [Counter(t) for t in texts]
+    most = [max(b.total(), 1) for b in bags]
+    want = {(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows)) if min(most[a], most[b]) >= 0.7 * max(most[a], most[b]) and sum((bags[a] & bags[b]).values()) >= 0.7 * max(most[a], most[b]) - 1e-9}
+    got = found(spark, rows)
+    assert got <= want
+    return len(got) / len(want), len(want)
+
+
+def test_a_third_of_the_rows_are_edited_copies_of_one_poem(spark):
+    rnd = random.Random(11)
+    vocab = [f"ord{k}" for k in range(3000)]
+    poem = background(rnd, 1, vocab)[0]
+    share, n = recall(spark, background(rnd, 400, vocab) + [slipped(rnd, poem, rnd.randint(1, 4)) for _ in range(200)])
+    assert n > 15_000 and share >= 0.99
