@@ -99,3 +99,12 @@ def test_a_third_of_the_rows_are_edited_copies_of_one_poem(spark):
     poem = background(rnd, 1, vocab)[0]
     share, n = recall(spark, background(rnd, 400, vocab) + [slipped(rnd, poem, rnd.randint(1, 4)) for _ in range(200)])
     assert n > 15_000 and share >= 0.99
+
+
+def test_slips_of_the_pen_near_the_threshold(spark):
+    rnd = random.Random(12)
+    vocab = [f"ord{k}" for k in range(3000)]
+    texts = background(rnd, 500, vocab)
+    near = [slipped(rnd, t, int(len(t) * (0.2 + 0.1 * rnd.random()))) for t in texts]
+    share, n = recall(spark, texts + near)
+    assert n >= 500 and share >= 0.98
