@@ -1,12 +1,12 @@
 """Problem 9: pages of repeated keywords, link lists and product tags.
 
 Texts are cut into blocks of lines. A block's redundancy is its compression ratio (deflate) divided by the
-median ratio of blocks of the same language and length. Blocks of extreme redundancy and low density of
-sentence ends are certain; from them and the other blocks of a bounded sample two word coders are trained, in
-rounds, each with the word frequencies of one kind of block. A block is spam if the coder of keyword blocks
-codes it in fewer bits than the coder of ordinary ones; a document is spam if most of its characters stand in
-such blocks. So a block is judged by the ratio of two compressed sizes, normalised for length by construction
-and for language by the words; plain deflate alone can't tell a short list of tags from a short verse.
+median ratio of blocks of the same language and length, a median over the different texts of all documents.
+Blocks of extreme redundancy and low density of sentence ends are spam in any document; so are blocks that are
+mostly links. Since plain deflate can't tell a short list of tags from a short verse, two word coders add blocks
+to these: they are trained on a bounded sample, in rounds, each with the word frequencies of one kind of block,
+and a block that the coder of keyword blocks codes in fewer bits than the coder of ordinary ones is spam too.
+A document is spam if most of its characters stand in such blocks.
 
 The sample: the different texts whose hash, taken modulo the number of documents, is under SAMPLE. So about SAMPLE
 texts come to the driver from an input of any size, and each text once.
@@ -21,8 +21,7 @@ import math
 import re
 import unicodedata
 import zlib
-from collections import Counter, defaultdict
-from statistics import median
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -97,27 +96,37 @@ def sentences(block: str) -> float:
     return len(SENTENCE.findall(block)) / max(1, len(WORD.findall(block)))
 
 
-class Coders:
-    """Log ratio of a word's probabilities in keyword blocks and in ordinary ones."""
-
-    def __init__(self, texts: list[tuple[str | None, str]]) -> None:
-        every = [((lang or "?")[:2].lower(), b) for lang, text in texts for b in blocks(normal(text))]
-        ratios = [ratio(b) for _, b in every]
-        like = [(lang, min(int(2 * math.log2(max(len(b), 16))), 20)) for lang, b in every]
-        by: dict[tuple[str, int], list[float]] = defaultdict(list)
-        for k, r in zip(like, ratios):
-            by[k].append(r)
-        of_length: dict[int, list[float]] = defaultdict(list)
-        for k, r in zip(like, ratios):
-            of_length[k[1]].append(r)
+def language(lang: str | None) -> str:
+    return (lang or "?")[:2].lower()
+
+
+def length(block: str) -> int:
+    """Blocks of one class are alike in length."""
+    return min(int(2 * math.log2(max(len(block), 16))), 20)
+
+
+class Medians:
+    """Median compression ratio of blocks like a given one; rows are (language, length, ratio, number of blocks), None standing for all."""
+
+    def __init__(self, rows: list[tuple[str | None, int | None, float, int]]) -> None:
         # too few blocks of one language and length have no median of their own
-        every_ratio = median(ratios) if ratios else 1.0
-        middle = {k: median(v) if len(v) >= FEW else median(of_length[k[1]]) if len(of_length[k[1]]) >= FEW else every_ratio for k, v in by.items()}
+        self.of = {(lang, size): r for lang, size, r, n in rows if n >= FEW or size is None}
+
+    def __call__(self, lang: str, block: str) -> float:
+        size = length(block)
+        return next((r for k in ((lang, size), (None, size), (None, None)) if (r := self.of.get(k)) is not None), 1.0)
+
+
+class Coders:
+    """Log ratio of a word's probabilities in keyword blocks and in ordinary ones, beside the medians."""
+
+    def __init__(self, texts: list[tuple[str | None, str]], middle: Medians) -> None:
+        self.middle = middle
+        every = [(language(lang), b) for lang, text in texts for b in blocks(normal(text))]
         tokens = [TOKEN.findall(b) for _, b in every]
-        density = [sentences(b) for _, b in every]
-        keyword = [r < REDUNDANT * middle[k] and len(b) >= BLOCK // 2 and d < SENTENCES for (_, b), k, r, d in zip(every, like, ratios, density)]
+        keyword = [self.certain(lang, b) for lang, b in every]
         # at first only blocks with sentences and an ordinary ratio count as ordinary, then all that aren't keywords
-        ordinary = [r >= ORDINARY * middle[k] and d > 0 for k, r, d in zip(like, ratios, density)]
+        ordinary = [ratio(b) >= ORDINARY * middle(lang, b) and sentences(b) > 0 for lang, b in every]
         self.gain: dict[str, float] = {}
         for n_round in range(ROUNDS):
             if not any(keyword):
@@ -135,6 +144,10 @@ class Coders:
             if before == keyword and n_round:
                 return
 
+    def certain(self, lang: str, block: str) -> bool:
+        """Whether a block is of extreme redundancy and low density of sentence ends."""
+        return len(block) >= BLOCK // 2 and ratio(block) < REDUNDANT * self.middle(lang, block) and sentences(block) < SENTENCES
+
     def keywords(self, block: str) -> bool:
         """Whether a block is links by most of its characters, or coded shorter by the coder of keyword blocks."""
         tokens = TOKEN.findall(block)
@@ -145,13 +158,33 @@ class Coders:
         get = self.gain.get
         return sum(get(w, UNKNOWN) for w in tokens) > 0
 
-    def share(self, text: str | None) -> float:
+    def spam(self, lang: str, block: str) -> bool:
+        return self.keywords(block) or self.certain(lang, block) and len(TOKEN.findall(block)) >= LEAST_WORDS
+
+    def share(self, text: str | None, lang: str | None = None) -> float:
         """Share of a text's characters that stand in keyword blocks."""
-        if not text or not self.gain or len(text) < 2 * LEAST_WORDS:
+        if not text or len(text) < 2 * LEAST_WORDS:
             return 0.0
         parts = blocks(normal(text))
         whole = sum(map(len, parts))
-        return sum(len(b) for b in parts if self.keywords(b)) / whole if whole else 0.0
+        return sum(len(b) for b in parts if self.spam(language(lang), b)) / whole if whole else 0.0
+
+
+def medians(texts: DataFrame) -> Medians:
+    """Medians of the blocks of all texts (text, lang); ratios count to three places."""
+
+    def count(batches):
+        seen: Counter = Counter()
+        for batch in batches:
+            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                seen.update((language(lang), length(b), round(ratio(b), 3)) for b in blocks(normal(text)))
+        keys = list(seen)
+        types = (pa.string(), pa.int32(), pa.float64())
+        yield pa.RecordBatch.from_arrays([*(pa.array([k[c] for k in keys], t) for c, t in enumerate(types)), pa.array([seen[k] for k in keys], pa.int64())], ["lang", "size", "r", "n"])
+
+    counted = texts.mapInArrow(count, "lang string, size int, r double, n long").groupBy("lang", "size", "r").agg(F.sum("n").alias("n"))
+    sets = counted.groupingSets([["lang", "size"], ["size"], []], "lang", "size").agg(F.expr("percentile(r, 0.5D, n)").alias("middle"), F.sum("n").alias("blocks"))
+    return Medians([tuple(r) for r in sets.select("lang", "size", "middle", "blocks").where("blocks > 0").collect()])
 
 
 def keyword_shares(docs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -161,14 +194,15 @@ def keyword_shares(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     chosen = rows.where("trim(text) <> ''").where(F.pmod(F.xxhash64("text"), F.lit(every)) < SAMPLE)
     sample = chosen.groupBy("text").agg(F.min("lang").alias("lang")).collect()
     sample.sort(key=lambda r: (r["text"], r["lang"] or ""))
-    coders = docs.sparkSession.sparkContext.broadcast(Coders([(r["lang"], r["text"]) for r in sample]))
+    texts = spread(rows.where("trim(text) <> ''").select("text", "lang")).distinct()
+    coders = docs.sparkSession.sparkContext.broadcast(Coders([(r["lang"], r["text"]) for r in sample], medians(texts)))
 
     def run(batches):
         for batch in batches:
-            shares = [coders.value.share(t) for t in batch.column(1).to_pylist()]
+            shares = [coders.value.share(t, lang) for t, lang in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shares, pa.float64())], ["key", "share"])
 
-    return spread(rows.select("key", "text")).mapInArrow(run, "key long, share double").select(F.col("key").alias(key), "share")
+    return spread(rows.select("key", "text", "lang")).mapInArrow(run, "key long, share double").select(F.col("key").alias(key), "share")
 
 
 def spam_pages(docs: DataFrame, key: str = "doc_id") -> DataFrame:

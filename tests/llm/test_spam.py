@@ -50,3 +50,18 @@ def test_normal_form():
     assert "salmebog" in S.normal("salm3b0g") and "sange til" in S.normal("s a n g e _ t i l") and S.normal("1783") == "0" and S.normal("A5") == "a0"
     assert "".join(S.blocks("x\n" * 900)).count("x") == 900
     assert sum(len(b) for b in S.blocks("y" * 5000)) == 5000
+
+
+def test_what_the_sample_lacks_is_judged_by_ratio_and_links(spark, monkeypatch):
+    monkeypatch.setattr(S, "SAMPLE", 0)
+    links = "\n".join(f"https://x{k}.example/side/{k * 7919}" for k in range(30))
+    rows = [(k, verse(20), "da") for k in range(60)] + [(60, "kvalmebog " * 500, "da"), (61, links, "da"), (62, links, None)]
+    got = {r["doc_id"] for r in S.spam_pages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got == {60, 61, 62}
+
+
+def test_medians_are_of_all_texts(spark):
+    texts = [(verse(12), "da") for _ in range(300)]
+    df = spark.createDataFrame(texts, "text string, lang string")
+    ratios = sorted(S.ratio(b) for t, _ in texts for b in S.blocks(S.normal(t)))
+    assert abs(S.medians(df).of[None, None] - ratios[len(ratios) // 2]) < 0.002
