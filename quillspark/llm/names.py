@@ -159,8 +159,8 @@ def keys(readings: list[dict]) -> list[str]:
             continue
         family, kind = r["family"], "g" if r["group"] or r["short"] and len(r["first"]) > LONG else r["first"][0]
         out.add(f"{family}|{kind}")
-        out |= {f"{family[:k]}{family[k + 1 :]}|{kind}" for k in range(len(family)) if len(family) > 4}
-        if not r["short"] and len(r["first"]) > 4 and not r["group"]:
+        out |= {f"{family[:k]}{family[k + 1 :]}|{kind}" for k in range(len(family)) if len(family) > 3}
+        if not r["short"] and len(r["first"]) > 2 and not r["group"]:
             out |= {f"{family}|-{r['first'][1:]}", f"{family}|-{r['first'][2:]}"}
     return sorted(out)
 

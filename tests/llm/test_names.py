@@ -43,3 +43,14 @@ def test_dirty_names(spark):
 @pytest.mark.parametrize("a,b,same", [("ab", "ab", True), ("abcd", "abdc", True), ("abcd", "abc", True), ("abcd", "axcd", True), ("abcd", "axyd", False), ("abcde", "abc", False), ("ab", "ac", False), ("abcd", "badc", False)])
 def test_near(a, b, same):
     assert N.near(a, b) is same and N.near(b, a) is same
+
+
+@pytest.mark.parametrize("a,b", [("Hans Peter Holm", "Hans Peter Hlom"), ("Holm, Hans", "Hlom, Hans"), ("Holm, Hans", "Hom, Hans"), ("Holm, Hans", "Halm, Hans"), ("Åse Maria Tveskæg", "Øse Maria Tveskæg"), ("Ove Bo Tveskæg", "Eve Bo Tveskæg")])
+def test_names_that_agree_share_a_block(a, b):
+    x, y = N.parse(a), N.parse(b)
+    if N.match(x, y):
+        assert set(N.keys(x)) & set(N.keys(y))
+
+
+def test_short_names_with_slips_agree():
+    assert N.match(N.parse("Holm, Hans"), N.parse("Hlom, Hans")) == 2 == N.match(N.parse("Åse Maria Tveskæg"), N.parse("Øse Maria Tveskæg"))
