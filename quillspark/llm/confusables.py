@@ -12,6 +12,7 @@ marks without a composed form stay as they are; texts of any length are processe
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import lru_cache
 
@@ -38,13 +39,13 @@ def tables() -> tuple[list[tuple[str, str, str]], list[tuple[str, str]]]:
     one: list[tuple[str, str, str]] = []
     two: list[tuple[str, str]] = []
     alike = {k: v for script in LOOKALIKES.values() for k, v in script.items()}
-    for c in range(0x80, 0x20000):
+    for c in range(0x80, sys.maxunicode + 1):
         ch = chr(c)
         kind = unicodedata.category(ch)
         parts = unicodedata.decomposition(ch)
         if kind in ("Cn", "Cs", "Co"):
             continue
-        if kind == "Cf" or 0xFE00 <= c <= 0xFE0F or c in UNSEEN:
+        if kind == "Cf" or 0xFE00 <= c <= 0xFE0F or 0xE0100 <= c <= 0xE01EF or c in UNSEEN:
             one.append((ch, "", INVISIBLE))
         elif kind == "Zs":
             one.append((ch, " ", SPACE))

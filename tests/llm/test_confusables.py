@@ -35,3 +35,8 @@ def test_poems(spark):
     df = spark.createDataFrame(rows, f"poem_no long, title string, body {body}").withColumns({"pos": F.lit(1), "ch": F.lit("x"), "text": F.lit("Ａ")})
     assert {(r["poem_no"], r["line_id"]) for r in C.changed_poems(df).collect()} == {(1, -1), (1, 1)}
     assert C.changed_poems(df.limit(0)).count() == 0
+
+
+def test_invisible_characters_of_the_last_planes(spark):
+    got = forms(spark, ["H\U000E0041ver", "da\U000E0100g", "\U000E0001Sol", "ren \U0001F600"])
+    assert got == {"H\U000E0041ver": ("Hver", ["invisible"]), "da\U000E0100g": ("dag", ["invisible"]), "\U000E0001Sol": ("Sol", ["invisible"]), "ren \U0001F600": ("ren \U0001F600", [])}
