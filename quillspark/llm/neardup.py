@@ -2,13 +2,14 @@
 
 HyperMinHash sketches: each bucket keeps, of the smallest hash among a record's words (a word that comes again
 is another element), the count of leading zeros (4 bits) and the mantissa bits that follow (4 bits). Each bucket
-has a hash function of its own, so that short records leave none empty. The smallest elements of up to six
-buckets form a band, fewer where together they are as rare as one record in all; records that agree in a band are candidates.
-All words enter: records of which 70 % of the words agree have a Jaccard similarity of 0.7 / 1.3 at least, however
-often their words occur elsewhere. The similarity estimated from the registers, corrected for the agreements that
-compression brings by chance, drops most false candidates; the rest are verified on the words themselves.
+has a hash function of its own, so that short records leave none empty. The smallest elements of up to six further
+buckets form a band, fewer where together they are nearly as rare as one record in all; records that agree in a band
+are candidates. All words enter, each drawn alike: records of which 70 % of the words agree have a Jaccard similarity
+of 0.7 / 1.3 at least, however often their words occur elsewhere. The similarity estimated from the registers, corrected for the
+agreements that compression brings by chance, drops most false candidates; the rest are verified on the words themselves.
 
-Equal records (same words, as often) are one class: only its representative is sketched and compared.
+Equal records (same words, as often) are one class: only its representative is sketched and compared. A band that
+more than HOT records share is compared in squares of HOT by HOT, which are tasks' work one by one.
 
 Defined results: records without words (null, empty or blank text) are in no pair; letter case, punctuation and
 order don't matter; repeated words count as often as they occur; texts of any length are used whole.
@@ -24,19 +25,24 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.plans.shared import materialise, spread
+from quillspark.plans.shared import drop_materialised, materialise, spread
 
 WORD = re.compile(r"[^\W_]+")
-BANDS, ROWS, MANTISSA = 72, 6, 4
+BANDS, ROWS, MANTISSA = 40, 6, 4
+#: Bits by which a band may be less rare than one record in all: so many false candidates of a band as its power of two.
+SLACK = 2
 #: Buckets whose compressed registers are kept for the estimate.
-KEPT = 128
-#: Words in at most this share of the records, or in FEW records, count as equally rare. The number of others is at most the mean count of distinct words divided by this share.
-COMMON, FEW = 0.005, 20
+KEPT = 64
+#: Words in at most this share of the records, or in FEW records, count as equally rare; FEW is the larger of both below 40,000 records.
+#: The number of other words, which is broadcast, is at most the mean count of distinct words divided by this share.
+COMMON, FEW = 0.0005, 20
 #: What an agreement of 70 % of the words guarantees, 0.7 / 1.3, less five standard errors of KEPT registers.
-ESTIMATE = 0.3
+ESTIMATE = 0.22
+#: Bytes of a band's key; steps to which the logarithm of a record's length is rounded for the first test of lengths.
+KEY_BYTES, STEPS, HOT = 5, 8, 1000
 #: Letters that old and new spelling exchange; sketches see the second form, verification never does.
 SPELLINGS = {"å": "a", "æ": "e", "ä": "e", "ø": "o", "ö": "o", "w": "v", "q": "k", "c": "k", "z": "s", "j": "i", "y": "i", "ÿ": "i"}
 FOLDED = str.maketrans(SPELLINGS)
@@ -79,16 +85,13 @@ class Hasher:
         return sum(hashes) & MASK, sum(h * (h >> 7 | 1) & MASK for h in hashes) & MASK
 
 
-def minima(hashes: np.ndarray, starts: np.ndarray, b: int, rarity: np.ndarray | None = None) -> np.ndarray:
-    """Smallest hash of each record in bucket b; its element hashes begin at starts. With rarity, the lowest 4 bits are that of the element."""
+def mixed(hashes: np.ndarray, b: int) -> np.ndarray:
+    """The hash function of bucket b."""
     with np.errstate(over="ignore"):
         h = hashes * np.uint64(0x9E3779B97F4A7C15 + 2 * b * 0x51ED270B)
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93 + 4 * b)
-    if rarity is not None:
-        h &= np.uint64(MASK - 15)
-        h |= rarity
-    return np.minimum.reduceat(h, starts)
+    return h
 
 
 def compressed(low: np.ndarray) -> np.ndarray:
@@ -100,26 +103,34 @@ def compressed(low: np.ndarray) -> np.ndarray:
 
 def registers(hashes: np.ndarray, starts: np.ndarray, buckets: int = KEPT) -> np.ndarray:
     """Registers of each record; its element hashes begin at starts."""
-    return np.stack([compressed(minima(hashes, starts, b)) for b in range(buckets)], axis=1)
+    return np.stack([compressed(np.minimum.reduceat(mixed(hashes, b), starts)) for b in range(buckets)], axis=1)
 
 
-def bands_and_registers(hashes: np.ndarray, starts: np.ndarray, rarity: np.ndarray, enough: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys of each record's bands, its first KEPT registers). A band takes elements until their rarity adds up to enough bits."""
-    keys, regs = np.empty((len(starts), BANDS), dtype=np.uint32), np.empty((len(starts), KEPT), dtype=np.uint8)
+def band_hashes(hashes: np.ndarray, starts: np.ndarray, rarity: np.ndarray, enough: int) -> np.ndarray:
+    """Keys of each record's bands. A band takes smallest elements until their rarity adds up to enough bits."""
+    n, sizes = len(starts), np.diff(np.append(starts, len(hashes)))
+    keys = np.empty((n, BANDS), dtype=np.uint64)
     for band in range(BANDS):
-        key, bits = np.full(len(starts), band + 1, dtype=np.uint64), np.zeros(len(starts), dtype=np.int64)
-        for b in range(band * ROWS, (band + 1) * ROWS):
-            low = minima(hashes, starts, b, rarity)
-            if b < KEPT:
-                regs[:, b] = compressed(low)
+        key, bits, left = np.full(n, band + 1, dtype=np.uint64), np.zeros(n, dtype=np.int64), np.arange(n)
+        h, rare, at = hashes, rarity, starts
+        for row in range(ROWS):
+            if row:  # only the records whose band isn't rare enough yet
+                left = np.flatnonzero(bits < enough)
+                if not len(left):
+                    break
+                inside = np.repeat(bits < enough, sizes)
+                h, rare, at = hashes[inside], rarity[inside], np.concatenate([[0], np.cumsum(sizes[left])[:-1]])
+            drawn = mixed(h, KEPT + band * ROWS + row)
+            drawn &= np.uint64(MASK - 15)  # the lowest 4 bits are the element's rarity
+            drawn |= rare
+            low = np.minimum.reduceat(drawn, at)
             with np.errstate(over="ignore"):
-                more = (key ^ low) * np.uint64(0x9E3779B97F4A7C15)
-                more ^= more >> np.uint64(29)
-            key = np.where(bits < enough, more, key)
-            bits += (low & np.uint64(15)).astype(np.int64)
+                more = (key[left] ^ low) * np.uint64(0x9E3779B97F4A7C15)
+            key[left] = more ^ more >> np.uint64(29)
+            bits[left] += (low & np.uint64(15)).astype(np.int64)
         with np.errstate(over="ignore"):
-            keys[:, band] = key * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)
-    return keys, regs
+            keys[:, band] = key * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - 8 * KEY_BYTES)
+    return keys
 
 
 def chance(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -137,89 +148,110 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.n
     return np.clip(((a == b).mean(axis=1) - by_chance) / (1 - by_chance), 0, 1)
 
 
-def common_words(texts: DataFrame) -> tuple[dict[int, int], int, int]:
-    """({hash: bits of rarity} of the words that more than COMMON of all records with words hold, bounded as said there; the bits of all other words; the bits that a band needs)."""
-
-    def count(batches):
-        hasher, seen, n = Hasher(), Counter(), 0
+def census(texts: DataFrame) -> DataFrame:
+    """texts (id, text) -> (id, h1, h2, n) of each record with words: a 128-bit hash of its words and their number; and, with a null id, (h1, n) of words in their sketched form: how many records of a task hold them."""
+    names, types = ["id", "h1", "h2", "n"], (pa.int64(), pa.int64(), pa.int64(), pa.int64())
 
-        def rows():
-            keys = list(seen)
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([seen[k] for k in keys], pa.int64())], ["w", "n"])
+    def rows(*columns):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
+    def run(batches):
+        hasher, seen = Hasher(), Counter()
         for batch in batches:
-            for t in batch.column(1).to_pylist():
-                if t and (found := set(hasher(words(t)))):
-                    n += 1
-                    seen.update(found)
+            out = []
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if t and (found := words(t)):
+                    one, two = hasher.bag(found)
+                    seen.update(set(hasher(found)))
+                    out.append((i, one - (1 << 63), two - (1 << 63), len(found)))
+            if out:
+                yield rows(*zip(*out))
             if len(seen) > MEMO:
-                yield rows()
+                yield rows([None] * len(seen), list(seen), [0] * len(seen), list(seen.values()))
                 seen = Counter()
-        seen[-1] += n
-        yield rows()
+        if seen:
+            yield rows([None] * len(seen), list(seen), [0] * len(seen), list(seen.values()))
+
+    return texts.mapInArrow(run, "id long, h1 long, h2 long, n long")
+
 
-    per = texts.mapInArrow(count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    per = materialise(per, "words")
-    total = per.where("w = -1").agg(F.sum("n")).first()[0] or 0
+def common_words(counted: DataFrame) -> tuple[dict[int, int], int, int]:
+    """({hash: bits of rarity} of the words that more than COMMON of all records with words hold, bounded as said there; the bits of all other words; the bits that a band needs)."""
+    total = counted.where("id IS NOT NULL").count()
     few = max(COMMON * total, FEW)
     bits = lambda n: min(max(int(math.log2(max(total, 1) / n)), 0), 15)
-    common = {r["w"]: bits(r["n"]) for r in per.where((F.col("w") >= 0) & (F.col("n") > few)).collect()}
-    return common, bits(few), math.ceil(math.log2(max(total, 2)))
+    per = counted.where("id IS NULL").groupBy("h1").agg(F.sum("n").alias("n")).where(F.col("n") > few)
+    return {r["h1"]: bits(r["n"]) for r in per.collect()}, bits(few), max(math.ceil(math.log2(max(total, 2))) - SLACK, 1)
 
 
 def sketches(texts: DataFrame, common: tuple[dict[int, int], int, int]) -> DataFrame:
-    """(id, h1, h2, n, bands, regs) of each record with words: a 128-bit hash of its words, their number, and the sketch of them."""
+    """(id, n, bands, regs) of each record with words: the number of its words, and the sketch of them."""
     shared = texts.sparkSession.sparkContext.broadcast(common)
 
     def run(batches):
         hasher, (bits, rare, enough) = Hasher(), shared.value
         for batch in (part for whole in batches for part in (whole.slice(k, 1000) for k in range(0, whole.num_rows, 1000))):
-            ids, texts_ = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            keep, one, two, sizes, flat, rarity = [], [], [], [], [], []
-            for i, t in zip(ids, texts_):
+            keep, sizes, flat, rarity = [], [], [], []
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if not t or not (found := words(t)):
                     continue
-                h1, h2 = hasher.bag(found)
                 times: dict[int, int] = {}
                 for h in hasher(found):  # a word that comes again is another element
                     k = times[h] = times.get(h, -1) + 1
                     flat.append((h + k * 0x9E3779B97F4A7C15) & MASK)
                     rarity.append(bits.get(h, rare))
                 keep.append(i)
-                one.append(h1 - (1 << 63))
-                two.append(h2 - (1 << 63))
                 sizes.append(len(found))
             if keep:
                 starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-                keys, regs = bands_and_registers(np.array(flat, dtype=np.uint64), starts, np.array(rarity, dtype=np.uint64), enough)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keep, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(sizes, pa.int32()), *(pa.array([r.tobytes() for r in x], pa.binary()) for x in (keys, regs))],
-                    ["id", "h1", "h2", "n", "bands", "regs"],
-                )
+                hashes = np.array(flat, dtype=np.uint64)
+                keys = band_hashes(hashes, starts, np.array(rarity, dtype=np.uint64), enough).view(np.uint8).reshape(len(keep), BANDS, 8)[:, :, :KEY_BYTES]
+                binary = [pa.array([r.tobytes() for r in x], pa.binary()) for x in (keys, registers(hashes, starts))]
+                yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), pa.array(sizes, pa.int32()), *binary], ["id", "n", "bands", "regs"])
 
-    return texts.mapInArrow(run, "id long, h1 long, h2 long, n int, bands binary, regs binary")
+    return texts.mapInArrow(run, "id long, n int, bands binary, regs binary")
 
 
 def band_keys(sketched: DataFrame) -> DataFrame:
-    """(band, id, n): the key of each band, 32 bits that depend on the band's number too."""
+    """(key, id) of each band: KEY_BYTES of its key, then a byte for the rounded logarithm of the record's length."""
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(np.repeat(batch.column(k).to_numpy(), BANDS)) for k in (0, 1))], ["band", "id", "n"])
-
-    return sketched.select("id", "n", "bands").mapInArrow(run, "band int, id long, n int")
-
-
-def candidates(reps: DataFrame, share: float) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of representatives that agree in a band, can agree by their lengths, and whose estimate is high enough."""
-    bands = band_keys(reps)
-    right = bands.select("band", F.col("id").alias("b"), F.col("n").alias("m"))
-    pairs = bands.select("band", F.col("id").alias("a"), "n").join(right.hint("merge"), "band").where("a < b").where(F.least("n", "m") >= share * F.greatest("n", "m") - 1e-9).select("a", "b").distinct()
-    side = lambda x: reps.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("regs").alias(f"r_{x}"))
-    joined = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
+            keys = np.zeros((batch.num_rows * BANDS, 8), dtype=np.uint8)
+            keys[:, 1 : KEY_BYTES + 1] = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint8).reshape(-1, KEY_BYTES)
+            keys[:, 0] = np.repeat(np.floor(STEPS * np.log2(batch.column(1).to_numpy())).astype(np.uint8), BANDS)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)[:, 0]), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["key", "id"])
+
+    return sketched.select("id", "n", "bands").mapInArrow(run, "key long, id long")
+
+
+def band_pairs(bands: DataFrame, share: float) -> DataFrame:
+    """Distinct pairs (a, b), a < b, that agree in a band and can agree by their lengths."""
+    band = F.shiftright("key", 8)
+    within = Window.partitionBy("band")
+    ranked = bands.repartition(band).select(band.alias("band"), (F.col("key") % 256).alias("len"), "id")
+    every = within.orderBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = ranked.withColumns({"many": F.count("*").over(every), "rank": F.row_number().over(within.orderBy("id"))}).where("many > 1")
+    # lengths were rounded down, so two that differ by log2(1 / share) may differ by a step more
+    alike = F.abs(F.col("x.len") - F.col("y.len")) <= math.ceil(-STEPS * math.log2(share)) + 1
+    few = ranked.where(F.col("many") <= HOT)
+    near = few.alias("x").join(few.alias("y").hint("merge"), "band").where("x.id < y.id").where(alike)
+    part, last = ((F.col("rank") - 1) / HOT).cast("int"), ((F.col("many") - 1) / HOT).cast("int")
+    hot = ranked.where(F.col("many") > HOT)
+    left = hot.select("band", "len", "id", part.alias("i"), F.explode(F.sequence(part, last)).alias("j"))
+    right = hot.select("band", "len", "id", F.explode(F.sequence(F.lit(0), part)).alias("i"), part.alias("j"))
+    squares = left.alias("x").join(right.alias("y").hint("merge"), ["band", "i", "j"]).where("x.id < y.id").where(alike)
+    ends = F.col("x.id").alias("a"), F.col("y.id").alias("b")
+    return near.select(*ends).unionByName(squares.select(*ends)).distinct()
+
+
+def candidates(sketched: DataFrame, share: float) -> DataFrame:
+    """The pairs of band_pairs whose estimated similarity is high enough."""
+    pairs = band_pairs(band_keys(sketched), share)
+    side = lambda x: sketched.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("regs").alias(f"r_{x}"))
+    joined = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").where(F.least("n_a", "n_b") >= share * F.greatest("n_a", "n_b") - 1e-9)
 
     def run(batches):
         for batch in batches:
@@ -256,12 +288,17 @@ def verified(pairs: DataFrame, texts: DataFrame, share: float) -> DataFrame:
 
 def near_duplicates(texts: DataFrame, share: float = 0.7) -> tuple[DataFrame, DataFrame]:
     """texts (id, text) -> (class pairs (a, b, agree) between representatives, members (id, rep))."""
-    common = common_words(texts)
-    sketched = materialise(sketches(texts, common), "sketches")
-    reps = sketched.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
-    members = materialise(sketched.select("id", "h1", "h2").join(reps, ["h1", "h2"]).select("id", "rep"), "members")
-    chosen = sketched.join(members.where("id = rep").select("id").hint("merge"), "id", "left_semi").select("id", "n", "bands", "regs")
-    pairs = materialise(candidates(chosen, share), "candidates")
+    counted = materialise(census(texts), "census")
+    common = common_words(counted)
+    records = counted.where("id IS NOT NULL").select("id", "h1", "h2")
+    reps = records.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
+    members = materialise(records.join(reps, ["h1", "h2"]).select("id", "rep"), "members")
+    # a table of its own, so that Spark knows its size when it chooses between sending it and shuffling the texts
+    copies = materialise(members.where("id <> rep").select("id"), "copies")
+    sketched = materialise(sketches(texts.join(copies, "id", "left_anti"), common), "sketches")
+    pairs = materialise(candidates(sketched, share), "candidates")
+    for done in (counted, copies, sketched):
+        drop_materialised(done)
     return materialise(verified(pairs, texts, share), "pairs"), members
 
 

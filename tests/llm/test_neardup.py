@@ -108,3 +108,12 @@ def test_slips_of_the_pen_near_the_threshold(spark):
     near = [slipped(rnd, t, int(len(t) * (0.2 + 0.1 * rnd.random()))) for t in texts]
     share, n = recall(spark, texts + near)
     assert n >= 500 and share >= 0.98
+
+
+def test_bands_of_many_records_are_compared_in_squares(spark, monkeypatch):
+    monkeypatch.setattr(N, "HOT", 7)
+    rnd = random.Random(13)
+    vocab = [f"ord{k}" for k in range(900)]
+    poem = background(rnd, 1, vocab)[0]
+    share, n = recall(spark, background(rnd, 60, vocab) + [slipped(rnd, poem, rnd.randint(1, 3)) for _ in range(50)])
+    assert n > 1000 and share >= 0.99
