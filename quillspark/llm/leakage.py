@@ -6,7 +6,11 @@ don't count. The q-grams of all items are indexed with their positions, but for
 each item's threshold is what the lemma leaves of its indexed q-grams: the fewest in any run of the given number
 of words, or, of the words that must be kept, when the edits are spread evenly. The q-grams which a document
 shares with an item are counted by overlapping bands of diagonals (place in the document less place in the
-item); regions that reach the threshold are verified by an alignment of words that is bound to the region.
+item); regions that reach the threshold are verified by an alignment of words that is bound to the region. Text put
+between the words, however much, moves the diagonal from band to band: where no region holds the item, the hits of
+all bands are chained, the most that follow each other in document and item alike, and a chain that reaches the
+threshold is verified by an alignment whose band follows it: of a document's words only those near the chain, or
+between two of its hits that lie about as far apart in the item, are aligned.
 
 The items are a stated query set of bounded size: their index is broadcast, in blocks of at most BLOCK letters,
 and every document passes all blocks.
@@ -19,6 +23,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import defaultdict
 
 import numpy as np
@@ -133,34 +138,63 @@ class Items:
         doc = np.searchsorted(starts, where, "right") - 1
         return doc, self.owner[entry], where - starts[doc], self.place[entry]
 
-    def regions(self, streams: list[str]) -> dict[tuple[int, int], list[tuple[int, int]]]:
-        """(document, item) -> places in the document's stream between which the item's passage may lie."""
+    def regions(self, streams: list[str]) -> dict[tuple[int, int], tuple[list[tuple[int, int]], np.ndarray, np.ndarray]]:
+        """(document, item) -> places in the document's stream between which the item's passage may lie; the places of all hits in document and item. Only those that have hits enough."""
         doc, item, there, here = self.hits(streams)
         if not len(doc):
             return {}
-        shift = there - here + (1 << 20) * 4
-        found: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-        for offset in (0, BAND // 2):  # bands overlap by half
-            band = (shift + offset) // BAND
-            order = np.lexsort((there, band, item, doc))
-            d, i, b, t = doc[order], item[order], band[order], there[order]
-            new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (i[1:] != i[:-1]) | (b[1:] != b[:-1])]))
-            size = np.diff(np.concatenate([new, [len(d)]]))
-            for k in np.flatnonzero(size >= self.need[i[new]]):
-                a, n = new[k], size[k]
-                found[int(d[a]), int(i[a])].append((int(t[a]), int(t[a + n - 1]) + Q))
+        order = np.lexsort((-here, there, item, doc))
+        doc, item, there, here = doc[order], item[order], there[order], here[order]
+        new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])]))
+        size = np.diff(np.concatenate([new, [len(doc)]]))
         out = {}
-        for (d_, i_), spans in found.items():
-            pad = int(self.lengths[i_]) // 2 + 2 * BAND
+        for k in np.flatnonzero(size >= self.need[item[new]]):
+            i, t, h = int(item[new[k]]), there[new[k] : new[k] + size[k]], here[new[k] : new[k] + size[k]]
+            spans = []
+            for offset in (0, BAND // 2):  # bands overlap by half
+                band = (t - h + (1 << 22) + offset) // BAND
+                by = np.argsort(band, kind="stable")
+                b, u = band[by], t[by]
+                first = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]]))
+                n = np.diff(np.concatenate([first, [len(b)]]))
+                spans += [(int(u[first[x]]), int(u[first[x] + n[x] - 1]) + Q) for x in np.flatnonzero(n >= self.need[i])]
+            pad = int(self.lengths[i]) // 2 + 2 * BAND
             merged: list[list[int]] = []
             for a, b_ in sorted(spans):
                 if merged and a - pad <= merged[-1][1]:
                     merged[-1][1] = max(merged[-1][1], b_ + pad)
                 else:
                     merged.append([a - pad, b_ + pad])
-            out[d_, i_] = [(max(a, 0), b_) for a, b_ in merged]
+            out[int(doc[new[k]]), i] = [(max(a, 0), b_) for a, b_ in merged], t, h
         return out
 
+    def chain(self, i: int, there: np.ndarray, here: np.ndarray) -> list[tuple[int, int]]:
+        """Parts of the document's stream along the longest chain of hits, [] for a chain under the threshold."""
+        tails: list[int] = []
+        last: list[int] = []
+        before = np.full(len(here), -1, dtype=np.int64)
+        for k, place in enumerate(here.tolist()):  # by place in the document, so the chain is the longest increasing run of places in the item
+            at = bisect_left(tails, place)
+            before[k] = last[at - 1] if at else -1
+            tails[at : at + 1], last[at : at + 1] = [place], [k]
+        if len(tails) < self.need[i]:
+            return []
+        links, k = [], last[-1]
+        while k >= 0:
+            links.append((int(there[k]), int(here[k])))
+            k = before[k]
+        links.reverse()
+        parts = [[max(links[0][0] - links[0][1] - BAND, 0), links[0][0] + Q]]
+        for (t, h), (u, g) in zip(links, links[1:]):
+            gap = g - h + BAND // 2
+            if u - t <= 2 * gap:
+                parts[-1][1] = u + Q
+            else:
+                parts[-1][1] = max(parts[-1][1], t + gap + Q)
+                parts.append([u - gap, u + Q])
+        parts[-1][1] += int(self.lengths[i]) - links[-1][1] + BAND
+        return [(a, b) for a, b in parts]
+
     def holds(self, i: int, words: list[str], stream: str) -> bool:
         """Whether a region's words hold enough of item i."""
         if any(run in stream for run in self.runs[i]):
@@ -180,16 +214,22 @@ class Items:
         cleaned = [clean(texts[k]) for k in rows]
         streams = [LETTERS.sub("", c) for c in cleaned]
         out, split = [], {}
-        for (d, i), spans in sorted(self.regions(streams).items()):
+        for (d, i), (spans, there, here) in sorted(self.regions(streams).items(), key=lambda x: x[0]):
             if d not in split:
                 words = WORD.findall(cleaned[d])
                 split = {d: (words, np.cumsum([len(LETTERS.sub("", w)) for w in words]))}
             words, ends = split[d]
-            for a, b in spans:
-                lo, hi = np.searchsorted(ends, a), np.searchsorted(ends, b, "right") + 1
-                if self.holds(i, words[lo:hi], streams[d][a : b + Q]):
+            between = lambda a, b: words[np.searchsorted(ends, a) : np.searchsorted(ends, b, "right") + 1]  # noqa: E731, B023
+            if any(self.holds(i, between(a, b), streams[d][a : b + Q]) for a, b in spans):
+                out.append((rows[d], self.ids[i]))
+            elif parts := self.chain(i, there, here):
+                near, done = [], 0
+                for a, b in parts:
+                    lo, hi = max(int(np.searchsorted(ends, a)), done), int(np.searchsorted(ends, b, "right")) + 1
+                    near += words[lo:hi]
+                    done = max(done, hi)
+                if self.holds(i, near, ""):
                     out.append((rows[d], self.ids[i]))
-                    break
         return out
 
 

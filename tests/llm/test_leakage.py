@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from quillspark.llm import leakage as L
@@ -81,3 +82,15 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     whole = sorted(map(tuple, L.leaks(docs, items).collect()))
     monkeypatch.setattr(L, "BLOCK", 2000)
     assert sorted(map(tuple, L.leaks(docs, items).collect())) == whole and len(whole) >= 8
+
+
+@pytest.mark.parametrize(("foreign", "every"), [(10, 2), (20, 2), (40, 3), (200, 3)])
+def test_text_put_between_the_words(foreign, every):
+    rng = random.Random(foreign)
+    word = lambda: "".join(rng.choice("abdefghiklmnoprstuv") for _ in range(rng.randint(2, 9)))
+    items = [[word() for _ in range(60)] for _ in range(20)]
+    index = L.Items(list(range(20)), [" ".join(t) for t in items])
+    docs = [" ".join(w + (" " + " ".join(word() for _ in range(foreign)) if k % every == every - 1 else "") for k, w in enumerate(t)) for t in items]
+    assert index.search(docs) == [(k, k) for k in range(20)]
+    turned = [" ".join(w + (" " + " ".join(word() for _ in range(foreign)) if k % every == every - 1 else "") for k, w in enumerate(t[40:] + t[20:40] + t[:20])) for t in items]
+    assert index.search(turned) == []
