@@ -39,6 +39,8 @@ KEPT = 64
 #: Words in at most this share of the records, or in FEW records, count as equally rare; FEW is the larger of both below 40,000 records.
 #: The number of other words, which is broadcast, is at most the mean count of distinct words divided by this share.
 COMMON, FEW = 0.0005, 20
+#: The share of their words that records must have in common.
+SHARE = 0.7
 #: What an agreement of 70 % of the words guarantees, 0.7 / 1.3, less five standard errors of KEPT registers.
 ESTIMATE = 0.22
 #: Bytes of a band's key; steps to which the logarithm of a record's length is rounded for the first test of lengths.
@@ -78,18 +80,23 @@ class Hasher:
         self.learn(found)
         return list(map(self.folded.__getitem__, found))
 
-    def bag(self, found: list[str]) -> tuple[int, int]:
-        """128 bits that depend on the words and how often they occur, not on their order."""
-        self.learn(found)
-        hashes = list(map(self.plain.__getitem__, found))
-        return sum(hashes) & MASK, sum(h * (h >> 7 | 1) & MASK for h in hashes) & MASK
+    def bags(self, found: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits of each list that depend on its words and how often they occur, not on their order; no list is empty."""
+        flat: list[int] = []
+        for words_ in found:
+            self.learn(words_)
+            flat += map(self.plain.__getitem__, words_)
+        hashes = np.array(flat, dtype=np.uint64)
+        starts = np.concatenate([[0], np.cumsum([len(w) for w in found])[:-1]]).astype(np.int64)
+        with np.errstate(over="ignore"):
+            return tuple(np.add.reduceat(h, starts).view(np.int64) for h in (hashes, hashes * (hashes >> np.uint64(7) | np.uint64(1))))
 
 
 def mixed(hashes: np.ndarray, b: int) -> np.ndarray:
     """The hash function of bucket b."""
     with np.errstate(over="ignore"):
         h = hashes * np.uint64(0x9E3779B97F4A7C15 + 2 * b * 0x51ED270B)
-        h ^= h >> np.uint64(32)
+        np.bitwise_xor(h, h >> np.uint64(32), out=h)
         h *= np.uint64(0xD6E8FEB86659FD93 + 4 * b)
     return h
 
@@ -114,16 +121,18 @@ def band_hashes(hashes: np.ndarray, starts: np.ndarray, rarity: np.ndarray, enou
         key, bits, left = np.full(n, band + 1, dtype=np.uint64), np.zeros(n, dtype=np.int64), np.arange(n)
         h, rare, at = hashes, rarity, starts
         for row in range(ROWS):
-            if row:  # only the records whose band isn't rare enough yet
+            if row:
                 left = np.flatnonzero(bits < enough)
                 if not len(left):
                     break
-                inside = np.repeat(bits < enough, sizes)
-                h, rare, at = hashes[inside], rarity[inside], np.concatenate([[0], np.cumsum(sizes[left])[:-1]])
+                if 3 * len(left) < n:  # of bands that few records go on with, only these are hashed
+                    inside = np.repeat(bits < enough, sizes)
+                    h, rare, at = hashes[inside], rarity[inside], np.concatenate([[0], np.cumsum(sizes[left])[:-1]])
             drawn = mixed(h, KEPT + band * ROWS + row)
-            drawn &= np.uint64(MASK - 15)  # the lowest 4 bits are the element's rarity
-            drawn |= rare
+            np.bitwise_and(drawn, np.uint64(MASK - 15), out=drawn)  # the lowest 4 bits are the element's rarity
+            np.bitwise_or(drawn, rare, out=drawn)
             low = np.minimum.reduceat(drawn, at)
+            low = low if len(low) == len(left) else low[left]
             with np.errstate(over="ignore"):
                 more = (key[left] ^ low) * np.uint64(0x9E3779B97F4A7C15)
             key[left] = more ^ more >> np.uint64(29)
@@ -157,15 +166,15 @@ def census(texts: DataFrame) -> DataFrame:
 
     def run(batches):
         hasher, seen = Hasher(), Counter()
-        for batch in batches:
-            out = []
+        for batch in (part for whole in batches for part in (whole.slice(k, 1000) for k in range(0, whole.num_rows, 1000))):
+            ids, every = [], []
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if t and (found := words(t)):
-                    one, two = hasher.bag(found)
+                    ids.append(i)
+                    every.append(found)
                     seen.update(set(hasher(found)))
-                    out.append((i, one - (1 << 63), two - (1 << 63), len(found)))
-            if out:
-                yield rows(*zip(*out))
+            if ids:
+                yield rows(ids, *hasher.bags(every), [len(found) for found in every])
             if len(seen) > MEMO:
                 yield rows([None] * len(seen), list(seen), [0] * len(seen), list(seen.values()))
                 seen = Counter()
@@ -227,31 +236,71 @@ def band_keys(sketched: DataFrame) -> DataFrame:
     return sketched.select("id", "n", "bands").mapInArrow(run, "key long, id long")
 
 
-def band_pairs(bands: DataFrame, share: float) -> DataFrame:
-    """Distinct pairs (a, b), a < b, that agree in a band and can agree by their lengths."""
-    band = F.shiftright("key", 8)
+def shared_bands(bands: DataFrame) -> DataFrame:
+    """(a, b, key) from band keys: pairs a < b of a band, its key being null; and, with a null b, each record of a band that more than HOT records share."""
+    names, steps = ["a", "b", "key"], math.ceil(-STEPS * math.log2(SHARE)) + 1
+
+    def rows(a, b, key):
+        null = pa.nulls(len(a), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(a), null if b is None else pa.array(b), null if key is None else pa.array(key)], names)
+
+    def run(batches):
+        key, ids, hot = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+        for batch in (*batches, None):  # rows come sorted by key, and the last band may go on in the next batch
+            if batch is not None:
+                key, ids = np.concatenate([key, batch.column(0).to_numpy()]), np.concatenate([ids, batch.column(1).to_numpy()])
+            if not len(key):
+                continue
+            band = key >> 8
+            whole = len(band) if batch is None else int(np.searchsorted(band, band[-1]))
+            n_hot = int(np.searchsorted(band, hot, "right")) if hot is not None and band[0] == hot else 0
+            if n_hot:
+                yield rows(ids[:n_hot], None, key[:n_hot])
+            first = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
+            size = np.diff(np.append(first, len(band)))
+            big = np.repeat(size > HOT, size)
+            big[:n_hot] = False
+            if big.any():
+                yield rows(ids[big], None, key[big])
+            if big[-1] and batch is not None:
+                hot = band[-1]
+            few = np.repeat((size > 1) & (size <= HOT), size)
+            few[whole:] = False
+            few[:n_hot] = False
+            at = np.flatnonzero(few)
+            behind = (np.repeat(first + size, size) - np.arange(len(band)) - 1)[at]
+            left = np.repeat(at, behind)
+            right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(behind) - behind, behind)
+            # lengths were rounded down, so two that differ by log2(1 / SHARE) may differ by a step more
+            ok = np.abs((key[left] & 255) - (key[right] & 255)) <= steps
+            x, y = ids[left[ok]], ids[right[ok]]
+            if len(x):
+                yield rows(np.minimum(x, y), np.maximum(x, y), None)
+            rest = len(band) if len(band) > whole and (big[-1] or n_hot == len(band)) else whole
+            key, ids = key[rest:], ids[rest:]
+
+    return bands.repartition(F.shiftright("key", 8)).sortWithinPartitions("key").mapInArrow(run, "a long, b long, key long")
+
+
+def band_pairs(found: DataFrame) -> DataFrame:
+    """shared_bands -> distinct pairs (a, b), a < b, that agree in a band and can agree by their lengths."""
     within = Window.partitionBy("band")
-    ranked = bands.repartition(band).select(band.alias("band"), (F.col("key") % 256).alias("len"), "id")
     every = within.orderBy("id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = ranked.withColumns({"many": F.count("*").over(every), "rank": F.row_number().over(within.orderBy("id"))}).where("many > 1")
-    # lengths were rounded down, so two that differ by log2(1 / share) may differ by a step more
-    alike = F.abs(F.col("x.len") - F.col("y.len")) <= math.ceil(-STEPS * math.log2(share)) + 1
-    few = ranked.where(F.col("many") <= HOT)
-    near = few.alias("x").join(few.alias("y").hint("merge"), "band").where("x.id < y.id").where(alike)
+    hot = found.where("b IS NULL").select(F.shiftright("key", 8).alias("band"), (F.col("key") % 256).alias("len"), F.col("a").alias("id"))
+    hot = hot.withColumns({"many": F.count("*").over(every), "rank": F.row_number().over(within.orderBy("id"))})
     part, last = ((F.col("rank") - 1) / HOT).cast("int"), ((F.col("many") - 1) / HOT).cast("int")
-    hot = ranked.where(F.col("many") > HOT)
     left = hot.select("band", "len", "id", part.alias("i"), F.explode(F.sequence(part, last)).alias("j"))
     right = hot.select("band", "len", "id", F.explode(F.sequence(F.lit(0), part)).alias("i"), part.alias("j"))
+    alike = F.abs(F.col("x.len") - F.col("y.len")) <= math.ceil(-STEPS * math.log2(SHARE)) + 1
     squares = left.alias("x").join(right.alias("y").hint("merge"), ["band", "i", "j"]).where("x.id < y.id").where(alike)
-    ends = F.col("x.id").alias("a"), F.col("y.id").alias("b")
-    return near.select(*ends).unionByName(squares.select(*ends)).distinct()
+    return found.where("b IS NOT NULL").select("a", "b").unionByName(squares.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))).distinct()
 
 
-def candidates(sketched: DataFrame, share: float) -> DataFrame:
+def candidates(sketched: DataFrame, found: DataFrame) -> DataFrame:
     """The pairs of band_pairs whose estimated similarity is high enough."""
-    pairs = band_pairs(band_keys(sketched), share)
+    pairs = band_pairs(found)
     side = lambda x: sketched.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("regs").alias(f"r_{x}"))
-    joined = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").where(F.least("n_a", "n_b") >= share * F.greatest("n_a", "n_b") - 1e-9)
+    joined = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").where(F.least("n_a", "n_b") >= SHARE * F.greatest("n_a", "n_b") - 1e-9)
 
     def run(batches):
         for batch in batches:
@@ -265,8 +314,8 @@ def candidates(sketched: DataFrame, share: float) -> DataFrame:
     return joined.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, share: float) -> DataFrame:
-    """The pairs of which at least share of the words agree, counted with repetition, with that share."""
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs of which at least SHARE of the words agree, counted with repetition, with that share."""
     side = lambda x: texts.select(F.col("id").alias(x), F.col("text").alias(f"t_{x}"))
     joined = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
 
@@ -279,14 +328,14 @@ def verified(pairs: DataFrame, texts: DataFrame, share: float) -> DataFrame:
                     last, left = i, Counter(words(s))
                 right = Counter(words(t))
                 common, most = sum((left & right).values()), max(left.total(), right.total())
-                if common >= share * most - 1e-9:
+                if common >= SHARE * most - 1e-9:
                     rows.append((i, j, common / most))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "agree"])
 
     return joined.select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long, agree double")
 
 
-def near_duplicates(texts: DataFrame, share: float = 0.7) -> tuple[DataFrame, DataFrame]:
+def near_duplicates(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """texts (id, text) -> (class pairs (a, b, agree) between representatives, members (id, rep))."""
     counted = materialise(census(texts), "census")
     common = common_words(counted)
@@ -296,10 +345,11 @@ def near_duplicates(texts: DataFrame, share: float = 0.7) -> tuple[DataFrame, Da
     # a table of its own, so that Spark knows its size when it chooses between sending it and shuffling the texts
     copies = materialise(members.where("id <> rep").select("id"), "copies")
     sketched = materialise(sketches(texts.join(copies, "id", "left_anti"), common), "sketches")
-    pairs = materialise(candidates(sketched, share), "candidates")
-    for done in (counted, copies, sketched):
+    found = materialise(shared_bands(band_keys(sketched)), "bands")
+    pairs = materialise(candidates(sketched, found), "candidates")
+    for done in (counted, copies, sketched, found):
         drop_materialised(done)
-    return materialise(verified(pairs, texts, share), "pairs"), members
+    return materialise(verified(pairs, texts), "pairs"), members
 
 
 def poem_texts(poems: DataFrame) -> DataFrame:
