@@ -85,6 +85,11 @@ def p5_values(spark: SparkSession, folder: str) -> DataFrame:
     return survivor.true_values(table(spark, folder, "poem_copies"))
 
 
+def p5_judged(spark: SparkSession, folder: str) -> DataFrame:
+    """The title and year of each group that the truth model holds most likely, and its number of true lines: the model's own choice, without the stated order."""
+    return survivor.judged(table(spark, folder, "poem_copies"))
+
+
 P5_SQL = """
 WITH c AS (
   SELECT group_no, copy_no, trust, fetched_at, source.title AS title, source.year_published AS y,
@@ -133,5 +138,5 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return spam.keyword_shares(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_groups, p3_found, p3_restored, p4_found, p5_found, p5_values, p6_found, p6_forms, p7_ids, p8_found, p9_found, p9_shares)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_groups, p3_found, p3_restored, p4_found, p5_found, p5_values, p5_judged, p6_found, p6_forms, p7_ids, p8_found, p9_found, p9_shares)}
 ORACLE: dict[str, str] = {"p1_found": P1_SQL, "p4_found": P4_SQL, "p5_found": P5_SQL}
