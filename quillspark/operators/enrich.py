@@ -60,21 +60,41 @@ def collisions(df: DataFrame, name: str) -> DataFrame:
     return df.groupBy(name).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def with_suffixes(df: DataFrame, name: str, *order: str) -> DataFrame:
+def name_number(name: Column) -> Column:
+    """struct(root, ext, number) of a name: x--3.json has the number 3, x.json the number 1."""
+    stem = F.regexp_replace(name, r"\.json$", "")
+    number = F.coalesce(F.regexp_extract(stem, r"--(\d+)$", 1).try_cast("long"), F.lit(1).cast("long"))
+    return F.struct(F.regexp_replace(stem, r"(--\d+)+$", "").alias("root"), F.when(name.endswith(".json"), ".json").otherwise("").alias("ext"), number.alias("number"))
+
+
+def highest_numbers(df: DataFrame, name: str) -> DataFrame:
+    """(root, ext, high): the highest number among the names of each root."""
+    return df.where(F.col(name).isNotNull()).select(name_number(F.col(name)).alias("x")).groupBy("x.root", "x.ext").agg(F.max("x.number").alias("high"))
+
+
+def with_suffixes(df: DataFrame, name: str, *order: str, taken: DataFrame | None = None) -> DataFrame:
     """Adds unique_name: the second and later rows of one name get --2, --3 and so on, in the stated order.
 
-    Numbers that other rows of the same stem have anyhow (x--2 beside two x) aren't given away: numbering goes on
-    behind the highest. Null names stay null. One name may belong to a large part of all rows.
+    Numbers that other rows of the same root have anyhow (x--2 beside two x) aren't given away: numbering goes on
+    behind the highest. taken (root, ext, high) holds the highest numbers given earlier; a name whose number isn't
+    above that of its root counts as given. Null names stay null. One name may belong to a large part of all rows.
     """
-    stem = F.regexp_replace(name, r"\.json$", "")
-    rows = df.withColumn("_root", F.regexp_replace(stem, r"(--\d+)+$", "")).withColumn("_ext", F.when(F.col(name).endswith(".json"), ".json").otherwise(""))
+    named = df.where(F.col(name).isNotNull()).withColumn("_x", name_number(F.col(name)))
+    rows = named.select(*df.columns, F.col("_x.root").alias("_root"), F.col("_x.ext").alias("_ext"), F.col("_x.number").alias("_number"))
     ranked = row_numbers(rows, [name], list(order), "_n")
-    taken = F.coalesce(F.regexp_extract(stem, r"--(\d+)$", 1).try_cast("int"), F.lit(1))
-    high = ranked.groupBy("_root", "_ext").agg(F.max(taken).alias("_high"))
-    later = row_numbers(ranked.where("_n > 1"), ["_root", "_ext"], [name, "_n"], "_k").join(high, ["_root", "_ext"])
+    high = ranked.groupBy("_root", "_ext").agg(F.max("_number").alias("_high"))
+    before = F.lit(0).cast("long")
+    if taken is not None:
+        old = taken.select(F.col("root").alias("_root"), F.col("ext").alias("_ext"), F.col("high").alias("_old"))
+        before = F.coalesce("_old", F.lit(0))
+        ranked, high = ranked.join(old, ["_root", "_ext"], "left"), high.join(old, ["_root", "_ext"], "left")
+    high = high.select("_root", "_ext", F.greatest("_high", before).alias("_high"))
+    first = (F.col("_n") == 1) & (F.col("_number") > before)
+    later = row_numbers(ranked.where(~first), ["_root", "_ext"], [name, "_n"], "_k").join(high, ["_root", "_ext"])
     given = F.concat("_root", F.lit("--"), (F.col("_high") + F.col("_k")).cast("string"), "_ext")
-    whole = ranked.where("_n = 1").withColumn("unique_name", F.col(name)).unionByName(later.withColumn("unique_name", given), allowMissingColumns=True)
-    return whole.select(*df.columns, "unique_name")
+    whole = ranked.where(first).withColumn("unique_name", F.col(name)).unionByName(later.withColumn("unique_name", given), allowMissingColumns=True)
+    nameless = df.where(F.col(name).isNull()).withColumn("unique_name", F.lit(None).cast("string"))
+    return whole.select(*df.columns, "unique_name").unionByName(nameless)
 
 
 def needs_author(doc: Column, name: Column) -> Column:

@@ -53,6 +53,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """For costly work per row: the rows in as many partitions as there are cores, if they come from fewer files; else unchanged."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df._jdf.inputFiles()) < cores else df  # the names stay in the JVM
+    """For costly work per row: the rows in as many partitions as there are cores, if the scan gives fewer; else unchanged.
+
+    A scan gives a partition for each file at least, and for each split of spark.sql.files.maxPartitionBytes. So what
+    is shuffled here is less than that size for each core, and a large table never is.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if max(len(df._jdf.inputFiles()), size // split) < cores else df  # the names of files stay in the JVM

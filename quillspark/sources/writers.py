@@ -19,20 +19,22 @@ def as_json(df: DataFrame, pretty: bool = False) -> Column:
 
 
 def write_files(df: DataFrame, folder: str, name: str = "file_name") -> None:
-    """One JSON file per row, named by a column, indented by two and with characters as they are. Written by the executors to a folder that they share."""
+    """One JSON file per row, named by a column, indented by two and with characters as they are. Written by the executors to a folder that they share: a path or an address of a file system that Arrow knows (file, hdfs, s3, gs)."""
     import json
     import os
 
+    import pyarrow.fs as fs
+
     rows = df.select(F.col(name).alias("_name"), as_json(df.drop(name)).alias("_json"))
 
     def write(part):
-        os.makedirs(folder, exist_ok=True)
+        system, base = fs.FileSystem.from_uri(folder if "://" in folder else os.path.abspath(folder))
+        system.create_dir(base, recursive=True)
         for row in part:
-            at = os.path.join(folder, os.path.basename(row["_name"]))
-            with open(f"{at}.part", "w", encoding="utf-8") as f:
-                json.dump(json.loads(row["_json"]), f, ensure_ascii=False, indent=2)
-                f.write("\n")
-            os.replace(f"{at}.part", at)  # a task that runs again leaves whole files
+            at = f"{base.rstrip('/')}/{os.path.basename(row['_name'])}"
+            with system.open_output_stream(f"{at}.part") as f:
+                f.write((json.dumps(json.loads(row["_json"]), ensure_ascii=False, indent=2) + "\n").encode("utf-8"))
+            system.move(f"{at}.part", at)  # a task that runs again leaves whole files
 
     rows.foreachPartition(write)
 

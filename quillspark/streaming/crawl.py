@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quillspark.functions import html as H
-from quillspark.operators.enrich import with_suffixes
+from quillspark.operators.enrich import highest_numbers, name_number, with_suffixes
 
 
 def new_pages(spark: SparkSession, folder: str, pattern: str = "*.html") -> DataFrame:
@@ -28,29 +28,32 @@ def append(df: DataFrame, out: str, checkpoint: str, **options: str) -> Streamin
 def append_named(df: DataFrame, out: str, checkpoint: str, name: str, *order: str) -> StreamingQuery:
     """Appends a stream whose names must be unique: those already in the table and those of the batch count.
 
-    A batch that runs again finds its own rows by batch number and writes them no second time.
+    The table has a folder for each batch. Beside it, in out with the ending _numbers, each batch leaves the highest
+    number of every root that it has names of, so later batches read these and not the table. A batch that runs again
+    replaces what it wrote before. Null names are kept as they are.
     """
+    numbers = f"{out.rstrip('/')}_numbers"
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        try:
-            old = spark.read.parquet(out)
-        except Exception:  # the table doesn't exist before the first batch
-            old = spark.createDataFrame([], f"unique_name string, {name} string, batch long")
-        if old.where(F.col("batch") == number).limit(1).count():
-            return
-        taken = old.groupBy(name).agg(F.count("*").alias("_taken"))
-        rows = with_suffixes(batch, name, *order).join(taken, name, "left")
-        stem, ext = F.regexp_replace(name, r"\.json$", ""), F.when(F.col(name).endswith(".json"), ".json").otherwise("")
-        from pyspark.sql import Window
-
-        n = F.row_number().over(Window.partitionBy(name).orderBy(*order)) + F.coalesce("_taken", F.lit(0))
-        unique = F.when(F.col("_taken").isNull(), F.col("unique_name")).otherwise(F.concat(stem, F.lit("--"), n.cast("string"), ext))
-        rows.withColumn("unique_name", unique).drop("_taken").withColumn("batch", F.lit(number).cast("long")).write.mode("append").parquet(out)
+        earlier = spark.createDataFrame([], "root string, ext string, high long")
+        if _exists(spark, numbers):
+            roots = batch.select(name_number(F.col(name)).alias("x")).select("x.root", "x.ext").distinct()
+            old = spark.read.schema("root string, ext string, high long, batch long").parquet(numbers).where(F.col("batch") < number)
+            earlier = old.join(roots, ["root", "ext"], "left_semi").groupBy("root", "ext").agg(F.max("high").alias("high"))
+        named = with_suffixes(batch, name, *order, taken=earlier)
+        named.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        written = spark.read.parquet(f"{out}/batch={number}")
+        highest_numbers(written, "unique_name").write.mode("overwrite").parquet(f"{numbers}/batch={number}")
 
     return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def latest_visits(visits: DataFrame, delay: str = "30 days") -> DataFrame:
     """Streaming counts of page visits by book and day of discovery, late visits within delay included."""
     return visits.withWatermark("discovered_at", delay).groupBy(F.window("discovered_at", "1 day"), "book_slug").agg(F.count("*").alias("n"), F.count_if(F.col("error").isNotNull()).alias("failed"))

@@ -24,6 +24,18 @@ def test_names_stay_unique_over_batches(spark, tmp_path):
     assert names == ["x--2.json", "x--3.json", "x--4.json", "x.json"]
 
 
+def test_a_name_given_as_a_suffix_is_given_once(spark, tmp_path):
+    source, out, mark = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "mark")
+    source.mkdir()
+    batches = (["x.json", "x--2.json", None, None], ["x.json", "y--4.json", None], ["y--5.json", "y.json", "x--3.json", "x--9.json"])
+    for k, names in enumerate(batches):
+        (source / f"{k}.json").write_text("".join('{"name":%s,"url":"u%d"}\n' % ("null" if n is None else f'"{n}"', j) for j, n in enumerate(names)))
+        crawl.append_named(spark.readStream.schema("name string, url string").json(str(source)), out, mark, "name", "url").awaitTermination()
+    names = [r["unique_name"] for r in spark.read.parquet(out).collect()]
+    kept = sorted(n for n in names if n is not None)
+    assert kept == sorted(["x.json", "x--2.json", "x--3.json", "y--4.json", "y--5.json", "y--6.json", "x--9.json", "x--10.json"]) and names.count(None) == 3
+
+
 def test_late_visits_are_counted(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
