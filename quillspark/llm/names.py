@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.components import components
-from quillspark.plans.shared import materialise
+from quillspark.plans.shared import drop_materialised, materialise
 
 # What means nobody, words that aren't part of a name, words of associations, and short forms of first names.
 NOBODY = ("anonymous", "anonym")
@@ -147,7 +147,8 @@ def _parse(name: str, spell) -> list[dict]:
         return [r for f in forms if (r := _reading(f, [words[groups[0]]], dotted))]
     ways = [(words[-1], words[:-1])]
     if len(words) == 2 and len(words[0]) > 2 and len(words[1]) > 1:
-        ways.append((words[0], words[1:]))
+        # where the first word is a first name after all, short forms of two names don't become slips of one family name
+        ways.append((FULL_FORMS.get(fold_given(words[0]), words[0]), words[1:]))
     return [r for f, g in ways if (r := _reading(f, g, dotted))]
 
 
@@ -213,14 +214,20 @@ def _parsed(names: DataFrame) -> DataFrame:
     return names.mapInArrow(run, f"id long, name string, readings array<{READING}>")
 
 
-def _links(profiles: DataFrame) -> DataFrame:
-    """(a, b, grade) of profiles that match; grade 1 says that one of them has initials only (a_short, b_short)."""
+def _blocks(profiles: DataFrame) -> DataFrame:
+    """(id, key) of each profile and each block it enters."""
 
     def block(batches):
         for batch in batches:
             rows = [(i, k) for i, r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for k in keys(r)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], ["id", "key"])
 
+    return profiles.select("id", "readings").mapInArrow(block, "id long, key string")
+
+
+def _links(blocks: DataFrame, profiles: DataFrame) -> DataFrame:
+    """(a, b, grade, a_short, b_short) of profiles of one block that match, one of which at least is fresh; grade 1 says that one of them has initials only."""
+
     def judge(batches):
         for batch in batches:
             rows = []
@@ -230,9 +237,9 @@ def _links(profiles: DataFrame) -> DataFrame:
             types = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["a", "b", "grade", "a_short", "b_short"])
 
-    blocks = profiles.select("id", "readings").mapInArrow(block, "id long, key string")
-    pairs = blocks.select("key", F.col("id").alias("a")).join(blocks.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b").distinct()
-    side = lambda x: profiles.select(F.col("id").alias(x), F.col("readings").alias(f"r_{x}"))
+    x, y = blocks.where("fresh").select("key", F.col("id").alias("x")), blocks.select("key", F.col("id").alias("y"), "fresh")
+    pairs = x.join(y.hint("merge"), "key").where("x < y OR (x > y AND NOT fresh)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    side = lambda x: profiles.select(F.col("id").alias(x), F.col("readings").alias(f"r_{x}")).hint("merge")
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "r_a", "r_b").mapInArrow(judge, "a long, b long, grade int, a_short boolean, b_short boolean")
 
 
@@ -240,27 +247,42 @@ def _accepted(links: DataFrame) -> DataFrame:
     """Sure links; and the links of a short profile that fits no more than one fuller profile."""
     ends = links.where("grade = 1 AND a_short <> b_short").select(F.when(F.col("a_short"), F.col("a")).otherwise(F.col("b")).alias("x"), F.when(F.col("a_short"), F.col("b")).otherwise(F.col("a")).alias("full"))
     unclear = ends.groupBy("x").agg(F.countDistinct("full").alias("n")).where("n > 1").select("x")
-    doubtful = links.where("grade = 1").join(unclear.withColumnRenamed("x", "a"), "a", "left_anti").join(unclear.withColumnRenamed("x", "b"), "b", "left_anti")
+    without = lambda x: unclear.withColumnRenamed("x", x).hint("merge")
+    doubtful = links.where("grade = 1").join(without("a"), "a", "left_anti").join(without("b"), "b", "left_anti")
     return links.where("grade = 2").select("a", "b").unionByName(doubtful.select("a", "b"))
 
 
-def resolve(names: DataFrame, rounds: int = 12) -> DataFrame:
-    """names (name, distinct) -> (name, group): the group is the id of one of its members."""
+def resolve(names: DataFrame) -> DataFrame:
+    """names (name, distinct) -> (name, group): the group is the id of one of its members.
+
+    Rounds end when one merges nothing; each that goes on leaves fewer profiles. A round matches only pairs with a
+    profile that the last one merged; the other matches are kept.
+    """
     start = materialise(names.select(F.monotonically_increasing_id().alias("id"), "name"), "names")
     parsed = materialise(_parsed(start), "parsed")
     # names with equal readings are one profile from the start, so blocks hold each once
     reading = F.when(F.size("readings") > 0, F.to_json("readings")).otherwise(F.col("id").cast("string"))
     keyed = parsed.select("id", "name", reading.alias("key"))
-    members = materialise(keyed.join(keyed.groupBy("key").agg(F.min("id").alias("group")), "key").select("id", "name", "group"), "members")
-    for _ in range(rounds):
-        profiles = members.join(parsed.select("id", "readings"), "id").groupBy(F.col("group").alias("id")).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("readings")))).alias("readings"))
+    members = materialise(keyed.join(keyed.groupBy("key").agg(F.min("id").alias("group")).hint("merge"), "key").select("id", "name", "group"), "members")
+    blocks, links, fresh = None, None, members.select(F.col("group").alias("id")).distinct()
+    while True:
+        profiles = members.join(parsed.select("id", "readings").hint("merge"), "id").groupBy(F.col("group").alias("id")).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("readings")))).alias("readings"))
         profiles = materialise(profiles, "profiles")
-        links = materialise(_links(profiles), "links")
+        new = _blocks(profiles.join(fresh.hint("merge"), "id", "left_semi")).withColumn("fresh", F.lit(True))
+        blocks = materialise(new if blocks is None else blocks.withColumn("fresh", F.lit(False)).unionByName(new), "blocks")
+        found = _links(blocks, profiles)
+        links = materialise(found if links is None else links.unionByName(found), "links")
         accepted = materialise(_accepted(links), "accepted")
         if not accepted.limit(1).count():
             break
-        labels = components(accepted, "a", "b").select(F.col("x").alias("group"), "label")
-        members = materialise(members.join(labels, "group", "left").select("id", "name", F.coalesce("label", "group").alias("group")), "members")
+        labels = materialise(components(accepted, "a", "b").select(F.col("x").alias("group"), "label"), "labels")
+        after = materialise(members.join(labels.hint("merge"), "group", "left").select("id", "name", F.coalesce("label", "group").alias("group")), "members")
+        merged_ids = lambda x: labels.select(F.col("group").alias(x)).hint("merge")  # noqa: E731, B023
+        kept_links = materialise(links.join(merged_ids("a"), "a", "left_anti").join(merged_ids("b"), "b", "left_anti"), "links")
+        kept_blocks = materialise(blocks.select("id", "key").join(merged_ids("id"), "id", "left_anti"), "blocks")
+        for done in (members, profiles, blocks, links, accepted):
+            drop_materialised(done)
+        members, blocks, links, fresh = after, kept_blocks, kept_links, labels.select(F.col("label").alias("id")).distinct()
     return members.select("name", "group")
 
 
