@@ -220,13 +220,6 @@ def filename_parts(spark: SparkSession, folder: str) -> DataFrame:
     return _long(rows.select("file_name", "p.*"), "copy")
 
 
-@query("SELECT c_custkey, n_name, r_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
-def lookup_left(spark: SparkSession, folder: str) -> DataFrame:
-    """Two hops of left look-ups, as an author's slug to its key and entry."""
-    c, n, r = (table(spark, folder, x) for x in ("customer", "nation", "region"))
-    return c.join(n, c["c_nationkey"] == n["n_nationkey"], "left").join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left").select("c_custkey", "n_name", "r_name")
-
-
 # Names
 
 
@@ -306,35 +299,6 @@ def leak_audit(spark: SparkSession, folder: str) -> DataFrame:
     return reports.leaks(lines.body_lines(_poems(spark, folder)))
 
 
-@query(rf"""
-WITH w AS (SELECT poem_no, list_distinct(regexp_extract_all(lower(coalesce(title, '')), '[\p{{L}}]+')) AS a, list_distinct(regexp_extract_all(lower(coalesce(body[1].text, '')), '[\p{{L}}]+')) AS b FROM poems)
-SELECT poem_no, array_to_string(list_sort(list_intersect(a, b)), ' ') AS both, array_to_string(list_sort(list_filter(a, lambda x: NOT list_contains(b, x))), ' ') AS left_only FROM w""")
-def array_set_ops(spark: SparkSession, folder: str) -> DataFrame:
-    """Words that a title shares with the first line, and those that it has alone."""
-    words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"[\p{L}]+"), F.lit(0)))
-    a, b = words(F.col("title")), words(F.get("body", 0)["text"])
-    return _poems(spark, folder).select("poem_no", F.array_join(F.array_sort(F.array_intersect(a, b)), " ").alias("both"), F.array_join(F.array_sort(F.array_except(a, b)), " ").alias("left_only"))
-
-
-YEARS = ["1589", "Før 1555", "Efter 1598", "1575-1590", "1630'erne", "1620erne", "", None, "1590-1575", "før 1555", "ca. 1600", "  1700 ", "15"]
-
-
-@query(f"""
-SELECT s AS text, CASE WHEN t = '' THEN 'empty' WHEN regexp_matches(t, '^(\\d{{3,4}}|(Før|Efter)\\s+\\d{{3,4}})$') THEN 'int' WHEN regexp_matches(t, '^\\d{{3,4}}\\s*-\\s*\\d{{3,4}}$') OR regexp_matches(t, '(?i)^\\d{{3,4}}''?erne$') THEN 'list' ELSE 'malformed' END AS kind,
-  CAST(CASE WHEN regexp_matches(t, '^\\d{{3,4}}$') THEN t WHEN regexp_matches(t, '^(Før|Efter)\\s+\\d{{3,4}}$') THEN regexp_extract(t, '\\d+') WHEN regexp_matches(t, '-') THEN least(split_part(t, '-', 1), split_part(t, '-', 2)) WHEN regexp_matches(t, '(?i)^\\d{{3,4}}''?erne$') THEN regexp_extract(t, '\\d+') END AS BIGINT) AS first,
-  CASE WHEN regexp_matches(t, '^\\d{{3,4}}$') THEN CAST(t AS BIGINT) WHEN regexp_matches(t, '^(Før|Efter)\\s+\\d{{3,4}}$') THEN CAST(regexp_extract(t, '\\d+') AS BIGINT) WHEN regexp_matches(t, '-') THEN CAST(greatest(split_part(t, '-', 1), split_part(t, '-', 2)) AS BIGINT) WHEN regexp_matches(t, '(?i)^\\d{{3,4}}''?erne$') THEN CAST(regexp_extract(t, '\\d+') AS BIGINT) + 9 END AS last
-FROM (SELECT s, trim(coalesce(s, '')) AS t FROM (VALUES {", ".join("(NULL)" if y is None else "('" + y.replace("'", "''") + "')" for y in YEARS)}) v(s))""")
-def year_span_parse(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spark.createDataFrame([(y,) for y in YEARS], "text string").select("text", T.parse_year(F.col("text")).alias("y"))
-    return _long(rows.select("text", "y.kind", "y.first", "y.last"), "first", "last")
-
-
-@query("SELECT * FROM (VALUES ('empty', 2, 2), ('int', 4, 4), ('list', 4, 4), ('malformed', 3, 3)) v(kind, n, n_books)")
-def year_form_histogram(spark: SparkSession, folder: str) -> DataFrame:
-    rows = spark.createDataFrame([(y, k) for k, y in enumerate(YEARS)], "text string, book int")
-    return reports.year_forms(rows, "text", "book")
-
-
 @query()
 def mojibake_reread(spark: SparkSession, folder: str) -> DataFrame:
     """Titles of which the whole value is UTF-8 read as Latin-1, read again."""
@@ -383,11 +347,6 @@ def findings_by_rule(spark: SparkSession, folder: str) -> DataFrame:
     return quality.findings(_poem_files(spark, folder)).groupBy("rule", "level").agg(F.count("*").alias("n"))
 
 
-@query()
-def findings_by_level(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.by_level(quality.findings(_poem_files(spark, folder)))
-
-
 # Pages: made from the poems, since the test tables hold none
 
 
@@ -424,17 +383,6 @@ def page_links(spark: SparkSession, folder: str) -> DataFrame:
     return _pages(spark, folder).select("poem_no", H.book_paths(F.col("html"), F.lit("b")).alias("paths"))
 
 
-@query()
-def page_title(spark: SparkSession, folder: str) -> DataFrame:
-    return _pages(spark, folder).select("poem_no", H.title_tag(F.col("html")).alias("t")).select("poem_no", "t.title", "t.author")
-
-
-@query()
-def html_entities(spark: SparkSession, folder: str) -> DataFrame:
-    escaped = F.concat(F.lit("&raquo;"), F.replace(F.coalesce("title", F.lit("")), F.lit("ø"), F.lit("&oslash;")), F.lit("&#171;"))
-    return _poems(spark, folder).select("poem_no", T.clean(escaped).alias("text"))
-
-
 @query()
 def hymn_poems(spark: SparkSession, folder: str) -> DataFrame:
     """Whole poem records from hymn pages."""
@@ -443,16 +391,4 @@ def hymn_poems(spark: SparkSession, folder: str) -> DataFrame:
     return poems.select("file_name", "title", "year_created", F.size("body").alias("n_lines"), F.col("source.title").alias("source_title"))
 
 
-@query(r"SELECT error, count(*) AS n FROM (SELECT 'book is not in the manifest' AS error FROM poems WHERE len(body) > 0 AND split_part(regexp_replace(file_name, '\.json$', ''), '--', 4) NOT IN (SELECT slug FROM books WHERE slug IS NOT NULL)) GROUP BY error")
-def hymn_failures(spark: SparkSession, folder: str) -> DataFrame:
-    pages = _pages(spark, folder).select("url", F.col("book").alias("book_slug"), "html")
-    return plans.hymns(pages, table(spark, folder, "books"), "hymns", "hymns")[1].groupBy("error").agg(F.count("*").alias("n"))
-
-
-EVENTS = [(1, 0, "speaker", "[3] | Anna"), (1, 1, "stanza", None), (1, 2, "line", "a"), (1, 3, "line", "b"), (1, 4, "speaker", "Bo"), (1, 5, "speaker", "Claus"), (1, 6, "stanza", None), (1, 7, "line", "c"), (1, 8, "speaker", "32 | Dorte"), (2, 0, "line", "before"), (2, 1, "stanza", None), (2, 2, "line", "after")]
-
-
-@query("SELECT * FROM (VALUES (1, 2, 0, 'a', 'Speaker: Anna'), (1, 3, 0, 'b', ''), (1, 7, 1, 'c', 'Speaker: Bo'), (2, 0, 0, 'before', ''), (2, 2, 0, 'after', '')) v(page, pos, stanza_id, text, note)")
-def drama_speakers(spark: SparkSession, folder: str) -> DataFrame:
-    events = spark.createDataFrame(EVENTS, "page int, pos int, kind string, text string")
-    return lines.speakers_to_stanzas(events, "page").select("page", "pos", F.col("stanza_id").cast("int").alias("stanza_id"), "text", F.array_join("marginal_notes", "").alias("note"))
+from quillspark import page_queries  # noqa: E402, F401  (adds its queries)
