@@ -176,6 +176,15 @@ def files_read_back(spark: SparkSession, folder: str) -> DataFrame:
     return _long(rows.select("file_name", "title", "author", "source_title", F.greatest("n_lines", F.lit(0)).alias("n_lines"), "created_first", span.alias("is_span")), "n_lines", "created_first")
 
 
+@query("SELECT 'V34' AS rule, count(*) AS n FROM poems UNION ALL SELECT 'V22', count(*) FROM poems WHERE body IS NULL HAVING count(*) > 0")
+def files_validated(spark: SparkSession, folder: str) -> DataFrame:
+    """Two rules on every poem as a file of several lines, read as it is."""
+    at = _files(spark, "documents")
+    poems = _poems(spark, folder).withColumn("year_created", F.try_parse_json("year_created"))
+    writers.write_files(poems.select(F.concat(F.col("poem_no").cast("string"), F.lit(".json")).alias("file_name"), *quality.KEYS), at)
+    return quality.findings(readers.documents(spark, at)).where("rule IN ('V22', 'V34')").groupBy("rule").agg(F.count("*").alias("n"))
+
+
 @query("SELECT slug, title, publisher, printer, place, CAST(year_published AS BIGINT) AS year_published FROM books")
 def books_read_back(spark: SparkSession, folder: str) -> DataFrame:
     """The manifest of books as one JSON file, read again."""

@@ -30,7 +30,7 @@ def poems(spark: SparkSession, *paths: str, pattern: str = "*.json", strict: boo
 
 def documents(spark: SparkSession, *paths: str, pattern: str = "*.json") -> DataFrame:
     """(path, file_name, text, doc) of every file, doc a variant and null where the text is no JSON: for validation."""
-    read = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(list(paths))
+    read = spark.read.option("pathGlobFilter", pattern).text(list(paths), wholetext=True)  # as an argument, since text() overrides the option
     return read.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"), F.try_parse_json("value").alias("doc"))
 
 
@@ -47,7 +47,7 @@ def typed_years(df: DataFrame) -> DataFrame:
 
 def books(spark: SparkSession, path: str) -> DataFrame:
     """A manifest {books: [...]} or a list of books."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.try_parse_json("value").alias("v"))
+    raw = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
     listed = F.coalesce(F.try_variant_get("v", "$.books", f"array<struct<{_struct(BOOK)}>>"), F.try_variant_get("v", "$", f"array<struct<{_struct(BOOK)}>>"))
     return raw.select(F.explode(listed).alias("b")).select("b.*")
 
