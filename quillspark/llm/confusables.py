@@ -24,6 +24,10 @@ from quillspark.llm import mojibake
 # Letters of other alphabets (and two phonetic ones) and the Latin letters they look like.
 LOOKALIKES = {
     "Latin phonetic": dict(zip("ɑɡıɩʏ", "agiiy")),
+    "Latin small capitals": dict(zip("ᴀʙᴄᴅᴇꜰɢʜᴊᴋʟᴍɴᴏᴘʀꜱᴛᴜᴠᴡᴢ", "abcdefghjklmnoprstuvwz")),
+    "Cyrillic, older": dict(zip("ѵѴ", "vV")),
+    "Greek, small": dict(zip("γω", "yw")),
+    "Lisu": dict(zip("ꓮꓐꓚꓓꓰꓝꓖꓧꓲꓙꓗꓡꓟꓠꓳꓑꓣꓢꓔꓴꓦꓪꓫꓬꓜ", "ABCDEFGHIJKLMNOPRSTUVWXYZ")),
     "Cyrillic": dict(zip("аеіјосрхуѕԁһԛԝкмтвнАВЕІЈКМНОРСТУХЅԌԚԜ", "aeijocpxysdhqwkmtbhABEIJKMHOPCTYXSGQW")),
     "Greek": dict(zip("οανιυρςϲκτΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳ", "oaviupscktABEZHIKMNOPTYXCj")),
     "Armenian": dict(zip("օսոհցքՕՍԼ", "ounhgpOUL")),
@@ -53,6 +57,8 @@ def tables() -> tuple[list[tuple[str, str, str]], list[tuple[str, str]]]:
             one.append((ch, unicodedata.normalize("NFKC", ch), WIDE))
         elif ch in alike:
             one.append((ch, alike[ch], ALIKE))
+        elif parts.startswith("<font>") and (plain := unicodedata.normalize("NFKC", ch)).isascii() and plain.isalpha():  # letters of mathematical alphabets
+            one.append((ch, plain, ALIKE))
         elif unicodedata.combining(ch):
             one.append((ch, ch, MARK))
         elif parts and not parts.startswith("<") and unicodedata.normalize("NFC", ch) != ch:
@@ -98,8 +104,15 @@ def canonical(texts: DataFrame, keys: tuple[str, ...] = ("poem_no", "line_id"))
     return _rebuild(_compose(clusters, by), by)
 
 
+@lru_cache(None)
+def compositions() -> list[tuple[str, str]]:
+    """(base and marks in order, composed character) of every character that has marks, from each of its forms."""
+    pairs = dict(tables()[1])
+    return sorted({**pairs, **{unicodedata.normalize("NFD", ch): ch for ch in pairs.values()}}.items())
+
+
 def _compose(clusters: DataFrame, by: list[str]) -> DataFrame:
-    """Compose base and marks, one mark of the cluster after the other; a mark without a composed form stays behind its base."""
+    """Compose base and marks: by a join where one character stands for all of a cluster, else one mark after the other; a mark without a composed form stays behind its base."""
     known = F.map_from_entries(F.array(*[F.struct(F.lit(pair), F.lit(whole)) for pair, whole in tables()[1]]))
     first = F.struct(F.element_at("parts", 1)["out"].alias("base"), F.lit("").alias("left"), F.lit(-1).alias("blocked"))
 
@@ -112,8 +125,10 @@ def _compose(clusters: DataFrame, by: list[str]) -> DataFrame:
             F.when(fits, done["blocked"]).otherwise(mark["ccc"]).alias("blocked"),
         )
 
-    whole = F.aggregate(F.slice("parts", 2, F.size("parts") - 1), first, add, lambda d: F.concat(d["base"], d["left"]))
-    done = clusters.where("parts IS NOT NULL").select(*by, "source", "base", "did", "text", whole.alias("whole"))
+    by_steps = F.aggregate(F.slice("parts", 2, F.size("parts") - 1), first, add, lambda d: F.concat(d["base"], d["left"]))
+    composed = F.broadcast(clusters.sparkSession.createDataFrame(compositions(), "text string, composed string"))
+    marked = clusters.where("parts IS NOT NULL").join(composed, "text", "left")
+    done = marked.select(*by, "source", "base", "did", "text", F.coalesce("composed", by_steps).alias("whole"))
     done = done.select(*by, "source", "base", F.when(F.col("whole") != F.col("text"), F.array_union("did", F.array(F.lit(MARK)))).otherwise(F.col("did")).alias("did"), F.col("whole").alias("text"))
     return clusters.where("parts IS NULL").select(*by, "source", "base", "did", "text").unionByName(done)
 

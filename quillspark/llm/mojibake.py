@@ -11,7 +11,9 @@ The states' tables follow from the codecs; the probabilities are fixed parameter
 of input. A text without any character that some state emits is clean without being walked.
 
 Defined results: null and empty texts are clean; lost characters (U+FFFD) are listed and stay as they are; a
-span is restored only as far as its units have one source; texts of any length are walked whole.
+span is restored only as far as its units have one source, and only if no other state explains it nearly as well
+by another text: such a span stays as it is and is flagged, as is a text with letters that a state hides among the
+corpus' own; texts of any length are walked whole.
 """
 
 from __future__ import annotations
@@ -30,10 +32,14 @@ from quillspark.plans.shared import spread
 #: (written as, read as) of each state; a third member repeats the same mistake.
 PAIRS = (
     ("utf-8", "cp1252"), ("utf-8", "cp1252", 2), ("utf-8", "cp1250"), ("utf-8", "iso8859-2"), ("utf-8", "mac_roman"), ("utf-8", "cp850"), ("utf-8", "cp437"),
-    ("cp1252", "cp850"), ("cp1252", "cp437"), ("cp850", "cp1252"), ("mac_roman", "cp1252"),
+    ("cp1252", "cp850"), ("cp1252", "cp437"), ("cp850", "cp1252"), ("mac_roman", "cp1252"), ("cp1252", "mac_roman"), ("cp1252", "cp1250"), ("cp1252", "mac_latin2"),
+    ("utf-8", "iso8859-15"), ("utf-8", "mac_latin2"), ("utf-8", "cp1251"), ("utf-8", "koi8-r"), ("utf-8", "cp1257"),
 )
+CYRILLIC = ("cp1251", "koi8-r")
 LOST = "�"
 ENTER, LEAVE = math.log(1e-5), math.log(0.05)
+#: A span is uncertain if another state's log probability comes so near to that of the best one.
+MARGIN = math.log(5)
 #: Emissions of source characters: the letters of the corpus' languages, then whole classes.
 SOURCE = {"ø": 2e-2, "æ": 1e-2, "å": 1e-2, "Ø": 1e-3, "Æ": 1e-3, "Å": 1e-3, "ö": 2e-3, "ä": 5e-4, "ü": 5e-4, "ÿ": 5e-4, "é": 1e-4, "ß": 1e-4, "ñ": 1e-4, "Ö": 1e-4, "Ä": 1e-4, "Ü": 1e-4}
 SYMBOL, OTHER_LETTER, QUOTE = 1e-5, 1e-7, 1e-7
@@ -62,10 +68,18 @@ def _sources() -> list[str]:
     return [chr(c) for a, b in spans for c in range(a, b) if unicodedata.category(chr(c)) != "Cn"]
 
 
+def _image(c: str, pair: tuple) -> str | None:
+    try:
+        return _read(c.encode(pair[0]), pair[1])
+    except UnicodeEncodeError:
+        return None
+
+
 def _table(written: str, read: str, times: int = 1) -> dict[str, str]:
     """What each source character becomes -> the source character; what two sources become the likelier one has."""
     out: dict[str, str] = {}
-    for c in _sources():
+    # read as Cyrillic, only the likely sources count: letters that look like Latin ones (problem 6) would be others' garbled forms
+    for c in SOURCE if read in CYRILLIC else _sources():
         try:
             g = c
             for _ in range(times):
@@ -93,6 +107,8 @@ def beside(text: str, start: int, end: int) -> tuple[str, str]:
 class Model:
     def __init__(self) -> None:
         self.tables = [_table(*p) for p in PAIRS]
+        #: Per state, letters of the corpus that a likely source character becomes, and which nothing tells from themselves.
+        self.hidden = [{g for c in SOURCE if (g := _image(c, p)) and g != c and g in ORDINARY} for p in PAIRS]
         self.longest = max(len(g) for t in self.tables for g in t)
         telltale = {ch for t in self.tables for g, c in t.items() if c in SOURCE for ch in g} | {LOST} | {chr(c) for c in range(0x80, 0xA0)}
         for t in self.tables:  # a many-character unit is told by its first character
@@ -187,6 +203,29 @@ class Model:
         spans += [(m, m + 1, n_states + 1) for m in marks if text[m] == LOST]
         return sorted(spans)
 
+    def reading(self, text: str, start: int, end: int, s: int) -> tuple[float, str] | None:
+        """(log probability, source text) of the span by one state, None where the state doesn't have all of its special characters."""
+        table = self.tables[s - 1]
+        best: dict[int, tuple[float, str]] = {start: (0.0, "")}
+        for i in range(start, end):
+            if (at := best.get(i)) is None:
+                continue
+            moves = [(j, self.source(src, text, i, j), src) for j in range(i + 1, min(end, i + self.longest) + 1) if (src := table.get(text[i:j])) is not None]
+            if not self.special.match(text[i]):
+                moves.append((i + 1, 0.0, text[i]))
+            for j, value, src in moves:
+                if j not in best or at[0] + value > best[j][0]:
+                    best[j] = (at[0] + value, at[1] + src)
+        return best.get(end)
+
+    def uncertain(self, text: str, span: tuple[int, int, int]) -> bool:
+        """Whether a state other than the span's explains it nearly as well by another text."""
+        start, end, s = span
+        if s > len(self.tables) or (own := self.reading(text, start, end, s)) is None:
+            return s <= len(self.tables)
+        others = (self.reading(text, start, end, t) for t in range(1, len(self.tables) + 1) if t != s)
+        return any(o is not None and o[1] != own[1] and o[0] > own[0] - MARGIN for o in others)
+
     def restore(self, text: str, spans: list[tuple[int, int, int]]) -> str:
         out, at = [], 0
         for start, end, s in spans:
@@ -242,8 +281,11 @@ def garbled(texts: DataFrame) -> DataFrame:
             rows = []
             for no, line, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 if spans := model.label(text):
-                    kinds = sorted({names[s - 1] for _, _, s in spans})
-                    rows.append((no, line, text, model.restore(text, spans), LOST not in text, ", ".join(kinds)))
+                    doubtful = [model.uncertain(text, x) for x in spans]
+                    hidden = any(s <= len(PAIRS) and model.hidden[s - 1].intersection(text) for _, _, s in spans)
+                    kinds = sorted({names[s - 1] + (" uncertain" if d else "") for (_, _, s), d in zip(spans, doubtful)})
+                    sure = [x for x, d in zip(spans, doubtful) if not d]
+                    rows.append((no, line, text, model.restore(text, sure), LOST not in text and not hidden and not any(doubtful), ", ".join(kinds)))
             types = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], ["poem_no", "line_id", "text", "restored", "whole", "read_as"])
 

@@ -27,6 +27,8 @@ def test_whole_lines_come_back(pair, line):
             pytest.skip("not in that code page")
     spans = MODEL.label(bad)
     assert spans
+    if MODEL.hidden[M.PAIRS.index(pair)].intersection(bad):  # such a text is flagged, see test_hidden_letters_are_flagged
+        return
     if (pair[0], pair[1]) not in {("cp1252", "cp437"), ("utf-8", "cp437")}:
         assert MODEL.restore(bad, spans) == line
 
@@ -63,5 +65,34 @@ def test_held_out_lines_come_back(spark, folder):
             total += bad != line
             good += bool(MODEL.label(bad)) and bad != line
         # å becomes a Greek letter by cp437, which a look-alike in a Latin word may be as well: alone it isn't taken for garbled
-        assert good >= (0.9 if pair == ("cp1252", "cp437") else 0.97) * total, (pair, good, total)
+        # cp1250 and Mac Latin 2 have other Latin letters there, which may belong into a name: one alone isn't taken for garbled either
+        least = {("cp1252", "cp437"): 0.9, ("cp1252", "cp1250"): 0.4, ("cp1252", "mac_latin2"): 0.75}.get(pair, 0.97)
+        assert good >= least * total, (pair, good, total)
     assert sum(bool(MODEL.label(x)) for x in lines) == 0
+
+
+@pytest.mark.parametrize(("written", "read"), [("cp1252", "mac_roman"), ("cp1252", "cp1250"), ("cp1252", "mac_latin2"), ("utf-8", "iso8859-15"), ("utf-8", "mac_latin2"), ("utf-8", "cp1251"), ("utf-8", "koi8-r"), ("utf-8", "cp1257")])
+def test_more_pairs_of_encodings(written, read):
+    model = M.Model()
+    for text in ("Hører du søen, når blæsten går", "Ærø i maj på åen"):
+        bad = M._read(text.encode(written), read)
+        spans = model.label(bad)
+        assert spans and model.restore(bad, [x for x in spans if not model.uncertain(bad, x)]) == text
+
+
+def test_lookalike_letters_are_not_garbled():
+    model = M.Model()
+    for text in ("F\u0430g\u0435r \u041d\u0458\u0435rtev\u0430\u0430r", "\u041aun haaber trist \u0412\u0458\u0435rg;"):
+        assert model.label(text) == []
+
+
+def test_an_uncertain_span_is_left_and_flagged(spark, monkeypatch):
+    monkeypatch.setattr(M, "MARGIN", 1e9)  # whatever two states can say in two ways is uncertain now
+    df = spark.createDataFrame([(1, 0, "s\u00c3\u00b8en")], "poem_no long, line_id int, text string")
+    row = M.garbled(df).first()
+    assert row["restored"] == row["text"] and row["whole"] is False and "uncertain" in row["read_as"]
+
+
+def test_hidden_letters_are_flagged(spark):
+    df = spark.createDataFrame([(1, 0, M._read("Ørnen rør Æblet på Åsen".encode("cp1252"), "mac_roman")), (2, 0, M._read("Æblet er rødt på Åsen".encode("cp1252"), "mac_roman"))], "poem_no long, line_id int, text string")
+    assert {r["poem_no"]: r["whole"] for r in M.garbled(df).collect()} == {1: False, 2: True}
