@@ -151,15 +151,15 @@ def findings(files: DataFrame, path: str = "path", text: str = "text") -> DataFr
     besides its banner.
     """
     docs = parsed(files, path, text)
-    bad = docs.where("doc IS NULL").select("path", F.lit(None).cast("int").alias("pos"), F.lit(ERROR).alias("level"), F.lit("V01").alias("rule"), F.lit("no JSON").alias("message"))
-    is_object = kind(F.col("doc")) == "OBJECT"
-    good = docs.where("doc IS NOT NULL")
     doc, line = F.col("doc"), F.col("line")
-    no_object = good.where(~is_object).select("path", F.explode(F.array(_finding(F.lit(True), INFO, "V34", "validated"), _finding(F.lit(True), ERROR, "V02", "the document is no object"))).alias("f"))
-    objects = good.where(is_object)
+    is_object = F.coalesce(kind(doc) == "OBJECT", F.lit(False))
     texts = [get(doc, "$." + f, "string").alias("t_" + f.replace(".", "_")) for f in DOC_TEXTS]
-    asked = objects.select("path", "doc", F.json_object_keys("text").alias("keys"), get(doc, "$.year_created", "array<variant>").alias("span"), *_kinds(doc, DOC_KINDS), *texts)
-    of_docs = asked.select("path", F.explode(F.filter(F.array(*_document_rules()), lambda f: f.isNotNull())).alias("f"))
+    # one pass for whatever is said of a document, one for its lines
+    asked = docs.select("path", doc.isNotNull().alias("is_json"), is_object.alias("is_object"), "doc", F.json_object_keys("text").alias("keys"), get(doc, "$.year_created", "array<variant>").alias("span"), *_kinds(doc, DOC_KINDS), *texts)
+    scalar = F.col("is_json") & ~F.col("is_object")
+    rules = [_finding(~F.col("is_json"), ERROR, "V01", "no JSON"), _finding(scalar, INFO, "V34", "validated"), _finding(scalar, ERROR, "V02", "the document is no object"), *[F.when(F.col("is_object"), r) for r in _document_rules()]]
+    of_docs = asked.select("path", F.explode(F.filter(F.array(*rules), lambda f: f.isNotNull())).alias("f"))
+    objects = docs.where(is_object)
     rows = objects.select("path", F.posexplode(get(doc, "$.body", "array<variant>")).alias("pos", "line"))
     kinds = rows.select("path", "pos", "line", kind(line).alias("k_line"), *_kinds(line, LINE_KINDS))
     number = lambda f: F.when(_k(f) == "BIGINT", get(line, "$." + f, "bigint"))
@@ -169,8 +169,7 @@ def findings(files: DataFrame, path: str = "path", text: str = "text") -> DataFr
     last = lambda c: F.coalesce(F.last(c, ignorenulls=True).over(before), F.lit(-1))
     lines = lines.withColumn("id_before", last("id")).withColumn("stanza_before", last("stanza"))
     of_lines = lines.select("path", "pos", F.explode(F.filter(F.array(*_line_rules()), lambda f: f.isNotNull())).alias("f")).select("path", "pos", "f.*")
-    whole = lambda df: df.select("path", F.lit(None).cast("int").alias("pos"), "f.*")
-    return bad.unionByName(whole(no_object)).unionByName(whole(of_docs)).unionByName(of_lines)
+    return of_docs.select("path", F.lit(None).cast("int").alias("pos"), "f.*").unionByName(of_lines)
 
 
 def by_level(found: DataFrame) -> DataFrame:
