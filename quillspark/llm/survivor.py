@@ -1,22 +1,23 @@
 """Problem 5: the best record of each group of copies, field by field.
 
-Latent truth model with two-sided source quality. A claim is that a source gives a value for a field of a group;
-a source that gives other values for it is silent on the claim. Expectation: a claim's posterior follows from the
-sensitivity and specificity of the sources that make it and of those that are silent. Maximisation: each source's
-sensitivity and specificity follow from the posteriors. Fields may hold several true values (lines of a text do),
-so every value is judged by itself and all that are judged true are kept. Values that only stand for a missing
-one, and values out of range, have the prior of an impossible one. What many silent sources say is bounded (LEAST_SAID),
-so that a value that one of many sources gives isn't ruled out by their number.
+survivors() takes each field's copy from the usable values by the order stated for it: for the body the copy with
+the most different lines left, then the highest trust, the latest fetch, the smallest number. That order names one
+winner, so there is nothing for a model to decide, and none is run: agreement between sources can't outweigh trust.
+Usable lines are counted in their row and the order is one aggregate, partial before its shuffle, so a group that
+holds a third of all rows is no single task's.
+
+judged() and true_values() give the choice of a model, without the stated order: a latent truth model with two-sided
+source quality. A claim is that a source gives a value for a field of a group; a source that gives other values for
+it is silent on the claim. Expectation: a claim's posterior follows from the sensitivity and specificity of the
+sources that make it and of those that are silent. Maximisation: each source's sensitivity and specificity follow
+from the posteriors. Fields may hold several true values (lines of a text do), so every value is judged by itself
+and all that are judged true are kept. Values that only stand for a missing one, and values out of range, have the
+prior of an impossible one. What many silent sources say is bounded (LEAST_SAID), so that a value that one of many
+sources gives doesn't become impossible by their number.
 
 Claims that the same sources make, among the same sources, have the same posterior. So claims are counted by
 these two sets once, and the rounds run on the counts, until no quality changes by TOLERANCE.
 
-judged() gives the model's own choice. survivors() takes each field's copy from the claims that the model doesn't
-rule out, by the order stated for it: for the body the copy with the most different lines left, then the highest
-trust, the latest fetch, the smallest number. That order leaves the model only to rule out: agreement between
-sources can't outweigh trust. Aggregations are partial before each shuffle, so a group that holds a third of all
-rows is no single task's.
-
 Defined results: a group none of whose copies has a usable value has null for that field; null groups form a
 group of their own; null trust and null times come last; repeated copies change nothing.
 """
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 
 from quillspark.plans.shared import drop_materialised, materialise
 
-PRIOR, IMPOSSIBLE, RULED_OUT, TRUE, TOLERANCE = 0.5, 1e-60, 1e-12, 0.5, 0.002
-#: Bounds of the log odds that all sources together add to the prior's: under the least no possible value is ruled out, under the most no impossible one is let in.
+PRIOR, IMPOSSIBLE, TRUE, TOLERANCE = 0.5, 1e-60, 0.5, 0.002
+#: Bounds of the log odds that all sources together add to the prior's: under the least no possible value becomes impossible, under the most no impossible one is let in.
 LEAST_SAID, MOST_SAID = -20.0, 100.0
 FIRST_YEAR, LAST_YEAR = 1400, 2026
 # What stands for a missing title, in lower case and without punctuation; words of remarks on missing lines.
@@ -54,7 +55,7 @@ def line_usable(line: Column) -> Column:
 
 
 def claims(copies: DataFrame) -> DataFrame:
-    """(group_no, copy_no, trust, fetched_at, source, field, value, usable): one row per value that a copy gives."""
+    """(group_no, source, field, value, usable, k): one row per value that a copy gives."""
     given = F.array(
         F.struct(F.lit("title").alias("field"), F.col("source.title").alias("value"), title_usable(F.col("source.title")).alias("usable")),
         F.struct(F.lit("year").alias("field"), F.col("source.year_published").cast("string").alias("value"), year_usable(F.col("source.year_published")).alias("usable")),
@@ -63,8 +64,8 @@ def claims(copies: DataFrame) -> DataFrame:
     lines = F.transform(texts, lambda x: F.struct(F.lit("line").alias("field"), x.alias("value"), line_usable(x).alias("usable")))
     every = F.concat(given, F.coalesce(lines, F.expr("cast(array() as array<struct<field:string,value:string,usable:boolean>>)")))
     source = F.concat_ws("|", F.coalesce("source.corpus", F.lit("")), F.coalesce(F.col("trust").cast("string"), F.lit("")))
-    out = copies.select("group_no", "copy_no", "trust", "fetched_at", source.alias("source"), F.explode(every).alias("c"))
-    return out.select("group_no", "copy_no", "trust", "fetched_at", "source", "c.*", F.xxhash64("c.value").alias("k")).where("value IS NOT NULL")
+    out = copies.select("group_no", source.alias("source"), F.explode(every).alias("c"))
+    return out.select("group_no", "source", "c.*", F.xxhash64("c.value").alias("k")).where("value IS NOT NULL")
 
 
 def posteriors(given: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -115,22 +116,16 @@ def _judged(cases: DataFrame, quality: DataFrame) -> DataFrame:
 
 def survivors(copies: DataFrame) -> DataFrame:
     """(group_no, title_copy, year_copy, body_copy), one row per group."""
-    given = materialise(claims(copies).drop("value"), "claims")  # the texts are read once
-    facts, _ = posteriors(given)
-    held = facts.where(F.col("p") >= RULED_OUT).select("group_no", "field", "k")
-    left, right = given.alias("c"), held.alias("h")
-    same = F.col("c.group_no").eqNullSafe(F.col("h.group_no")) & (F.col("c.field") == F.col("h.field")) & (F.col("c.k") == F.col("h.k"))
-    held_claims = left.join(right, same, "left_semi")  # a copy gives each line once; copies that come again count once
-    kept = held_claims.dropDuplicates(["group_no", "copy_no", "trust", "fetched_at", "field", "k"]).groupBy("group_no", "copy_no", "trust", "fetched_at").agg(
-        F.max(F.col("field") == "title").alias("title"), F.max(F.col("field") == "year").alias("year"), F.sum((F.col("field") == "line").cast("long")).alias("lines")
-    )
+    lines = F.filter(F.array_distinct(F.transform("body", lambda x: x["text"])), line_usable)  # compared as stored
+    rows = copies.select(
+        "group_no", "copy_no", "trust", "fetched_at",
+        title_usable(F.col("source.title")).alias("title"), year_usable(F.col("source.year_published")).alias("year"), F.size(lines).alias("lines"),
+    )
     order = [F.col("trust"), F.col("fetched_at"), (-F.col("copy_no")).alias("least")]
     best = lambda on, *first: -F.max(F.when(on, F.struct(*first, *order)))["least"]
-    chosen = kept.groupBy("group_no").agg(
+    return rows.groupBy("group_no").agg(
         best(F.col("title")).alias("title_copy"), best(F.col("year")).alias("year_copy"), best(F.col("lines") > 0, F.col("lines")).alias("body_copy")
     )
-    groups = copies.select("group_no").distinct()
-    return groups.alias("g").join(chosen.alias("s"), F.col("g.group_no").eqNullSafe(F.col("s.group_no")), "left").select("g.group_no", "title_copy", "year_copy", "body_copy")
 
 
 def judged(copies: DataFrame) -> DataFrame:

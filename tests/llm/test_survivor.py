@@ -36,6 +36,20 @@ def test_equals_sql(spark, folder):
     assert got == sorted(con.execute(queries.ORACLE["p5_found"]).fetchall())
 
 
+def test_the_stated_order_alone_chooses(spark, monkeypatch, tmp_path):
+    """No model runs and no table is written for it; rows of one number don't lend each other lines."""
+    monkeypatch.setattr(S, "posteriors", lambda given: 1 / 0)
+    monkeypatch.setattr(S, "materialise", lambda df, label: 1 / 0)
+    rows = [copy(1, 1, 1, "A", 1600, ["a", "b"], 0), copy(1, 1, 1, "A", 1600, ["c", "d"], 0), copy(2, 1, 2, "B", 9999, ["x", "y", "z"], 0), copy(3, 2, 1, "titel", None, ["[mangler]"], None), copy(4, 2, None, "C", None, None, 0)]
+    df = spark.createDataFrame(rows, COPY)
+    got = sorted(map(tuple, S.survivors(df).collect()))
+    assert got == [(1, 2, 1, 2), (2, 4, None, None)]
+    df.coalesce(1).write.parquet(f"{tmp_path}/copies")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW poem_copies AS SELECT * FROM '{tmp_path}/copies/*.parquet'")
+    assert got == sorted(con.execute(queries.ORACLE["p5_found"]).fetchall())
+
+
 def test_the_model_finds_bad_sources_and_keeps_several_values(spark):
     rows, no = [], 0
     for g in range(60):
